@@ -151,7 +151,7 @@ def topic_distance(topic_term: DataFrame, by: list[str] = ENTITY) -> DataFrame:
     vector holding its contribution to all H and H_ab, and vectors are summed
     inside the tasks, so no row per pair and term is ever produced or shuffled.
     """
-    topics = topic_list(topic_term, by)
+    topics = pin(topic_list(topic_term, by), "topics")
     seats = topics.groupBy(*by).agg(F.transform(
         F.array_sort(F.collect_list(F.struct("seat", "topic"))), lambda s: s["topic"]
     ).alias("_topics"))
@@ -160,20 +160,16 @@ def topic_distance(topic_term: DataFrame, by: list[str] = ENTITY) -> DataFrame:
     )
     dense = F.transform("_topics", lambda t: F.coalesce(F.try_element_at("_phi", t), F.lit(0.0)))
     terms = lookup(by_term, seats, by).select(*by, F.explode(F.array(dense)).alias("_p"))
-    last = F.size("_p") - 1
-    mixed = F.flatten(F.transform(F.sequence(F.lit(0), last), lambda i: F.transform(
-        F.filter(F.sequence(F.lit(0), last), lambda j: j > i),
-        lambda j: _xlogx((F.get("_p", i) + F.get("_p", j)) / 2),
+    mixed = F.flatten(F.transform("_p", lambda p, i: F.transform(
+        F.slice("_p", i + 2, F.size("_p")), lambda q: _xlogx((p + q) / 2)
     )))
     parts = terms.select(*by, array_to_vector(F.concat(F.transform("_p", _xlogx), mixed)).alias("_v"))
     sums = parts.groupBy(*by).agg(vector_to_array(Summarizer.sum(F.col("_v"))).alias("_h"))
-    sized = lookup(sums, seats.select(*by, F.size("_topics").alias("_k")), by)
     a, b, k = F.col("a"), F.col("b"), F.col("_k")
     slot = (k + a * (2 * k - a - 1) / 2 + (b - a - 1)).cast("int")
     value = (F.get("_h", a) + F.get("_h", b)) / 2 - F.get("_h", slot)
-    return lookup(topic_pairs(topics, by), sized, by).select(
-        *by, "topic_a", "topic_b", F.greatest(value, F.lit(0.0)).alias("distance")
-    )
+    seen = topic_pairs(topics, by).join(seats.select(*by, F.size("_topics").alias("_k")), by).join(sums, by)
+    return seen.select(*by, "topic_a", "topic_b", F.greatest(value, F.lit(0.0)).alias("distance"))
 
 
 def _scale(pdf: pd.DataFrame, by: list[str]) -> pd.DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chorus.functions import text as tx
-from chorus.operators.scale import lookup, pin, rank_all
+from chorus.operators.scale import lookup, pin, rank_all, spread
 from chorus.schema import DOC, ENTITY, MIN_TOKENS, VOCABULARY_SIZE
 
 
@@ -34,7 +34,7 @@ def preprocess(
     docs = [doc] if isinstance(doc, str) else doc
     words = tx.content_words(F.col(text), None if lang is None else F.col(lang), langs)
     others = [c for c in reviews.columns if c != text]
-    placed = reviews.repartition(*docs)
+    placed = spread(reviews, *docs)
     return keep_longer(placed.select(*others, F.explode(F.array(words)).alias("words")), min_tokens)
 
 
@@ -86,7 +86,8 @@ def doc_counts(tokens: DataFrame, by: list[str] = ENTITY) -> DataFrame:
 
 def idf(tokens: DataFrame, by: list[str] = ENTITY) -> DataFrame:
     """ln((m + 1) / (df + 1)) for every term of every entity."""
-    counted = lookup(document_frequency(tokens, by), doc_counts(tokens, by), by, load="n_docs")
+    sizes = pin(doc_counts(tokens, by), "doc_counts")
+    counted = lookup(document_frequency(tokens, by), sizes, by, load="n_docs")
     weight = F.log((F.col("n_docs") + 1) / (F.col("doc_freq") + 1))
     return counted.select(*by, "term", "doc_freq", weight.alias("idf"))
 

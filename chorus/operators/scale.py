@@ -31,16 +31,34 @@ def work_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/chorus/{context.applicationId}"
 
 
-def pin(df: DataFrame, label: str) -> DataFrame:
+def pin(df: DataFrame, label: str, by: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the work folder and read it back, cutting lineage.
 
     Several passes over the result cost one computation, and a lost executor
-    costs nothing because the rows live on shared storage.
+    costs nothing because the rows live on shared storage. With ``by`` the table
+    is laid out in one directory per key, so that filters on keys prune.
     """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{label}-{uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if by:
+        gathered(df, by).write.partitionBy(*by).parquet(path)
+    else:
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def gathered(df: DataFrame, by: list[str]) -> DataFrame:
+    """Rows of a key in few partitions; adaptive execution splits a key too large for one."""
+    return df.hint("rebalance", *[F.col(c) for c in by])
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Place rows by key over the session's shuffle partitions.
+
+    The count is given so that adaptive execution does not merge partitions by
+    byte size: the text work that follows is far heavier than its bytes suggest.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -70,7 +88,8 @@ def lookup(
 ) -> DataFrame:
     """Join many ``rows`` to a ``table`` that holds one row per (non-null) key.
 
-    A table measured below ``limit`` bytes is broadcast. Beyond it, each key
+    ``table`` is read more than once: pass a written table unless it is cheap.
+    Measured below ``limit`` bytes it is broadcast. Beyond it, each key
     gets a load, the number of rows it will meet: the column named by ``load``,
     or counted from ``rows``. Keys above 1/``hot_keys`` of all load number fewer
     than ``hot_keys`` by arithmetic, so they are broadcast and their rows are
@@ -157,7 +176,7 @@ def rank_all(df: DataFrame, by: list[str], order: list[Column], rank: str = "ran
         .agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
         .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
     )
-    placed = lookup(fixed, runs, [*by, "_part"], load="_rows")
+    placed = lookup(fixed, pin(runs, "runs"), [*by, "_part"], load="_rows")
     return placed.withColumn(
         rank, (F.col("_at") - F.col("_first") + F.col("_before") + 1).cast("bigint")
     ).drop("_at", "_part", "_first", "_rows", "_before")

@@ -3,16 +3,18 @@
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import IDF, CountVectorizerModel, IDFModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from chorus.operators.corpus import doc_counts, vocabulary
-from chorus.operators.scale import lookup, pin
+from chorus.operators.scale import lookup, pin, spread, work_dir
 from chorus.schema import DOC, ENTITY, LDA_ITERATIONS, LDA_SEED, LDA_TOPICS, VOCABULARY_SIZE
 
 
@@ -49,18 +51,19 @@ def fit_lda(
     if not listed:
         return None
     counter = CountVectorizerModel.from_vocabulary(listed, inputCol="words", outputCol="tf")
-    laid = tokens.select(doc, "words").repartition(doc).sortWithinPartitions(doc)
-    counts = counter.transform(laid).select(doc, "tf").persist(StorageLevel.MEMORY_AND_DISK)
+    laid = spread(tokens.select(doc, "words"), doc).sortWithinPartitions(doc)
+    counts = counter.transform(laid).select("tf")
+    weights = IDF(inputCol="tf", outputCol="tf_idf").fit(counts)
+    if not weights.numDocs:
+        return None
+    # every iteration reads all vectors; a lost block is rebuilt from the written tokens
+    vectors = weights.transform(counts).select("tf_idf").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        weights = IDF(inputCol="tf", outputCol="tf_idf").fit(counts)
-        if not weights.numDocs:
-            return None
-        vectors = weights.transform(counts).select("tf_idf")
         lda = LDA(
             k=settings.n_topics, maxIter=settings.max_iter, seed=settings.seed, featuresCol="tf_idf"
         ).fit(vectors)
     finally:
-        counts.unpersist()
+        vectors.unpersist()
     return TopicModel(counter, weights, lda, terms.select("idx", "term"), weights.numDocs)
 
 
@@ -114,37 +117,48 @@ def lda_per_entity(
 ) -> TopicTables | None:
     """One model per entity over shared, already tokenised input.
 
-    Tokens and vocabularies of all entities are computed once and written; the
-    fits, themselves distributed jobs, run a few at a time. Every result row
-    carries its entity. ``None`` when no entity has anything to fit.
+    Tokens and vocabularies of all entities are computed once and written in one
+    directory per entity, so a fit reads its own rows only. The fits, themselves
+    distributed jobs, run a few at a time; each writes its rows under one common
+    table per kind. The driver holds the entity list and one vocabulary and topic
+    matrix per running fit. ``None`` when no entity has anything to fit.
     """
-    tokens = pin(tokens, "tokens")
-    terms = pin(vocabulary(tokens, by, doc, settings.vocab_size, settings.min_df), "vocabulary")
+    spark = tokens.sparkSession
+    tokens = pin(tokens, "tokens", by)
+    terms = pin(vocabulary(tokens, by, doc, settings.vocab_size, settings.min_df), "vocabulary", by)
     entities = [r.asDict() for r in doc_counts(tokens, by).select(*by).orderBy(*by).collect()]
+    root = f"{work_dir(spark)}/fits-{uuid4().hex}"
 
     def of(df: DataFrame, entity: dict) -> DataFrame:
-        return df.filter(reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in entity.items()]))
+        return df.filter(reduce(lambda a, b: a & b, [F.col(c) == F.lit(v) for c, v in entity.items()]))
 
-    def run(entity: dict):
+    def run(job: tuple[int, dict]) -> list[T.StructType] | None:
+        number, entity = job
         own = of(tokens, entity)
         model = fit_lda(own, of(terms, entity), settings, doc)
         if model is None:
             return None
         keys = [F.lit(entity[c]).cast(tokens.schema[c].dataType).alias(c) for c in by]
-        phi = topic_term(model).select(*keys, "*")
-        fit = tokens.sparkSession.range(1).select(
+        fit = spark.range(1).select(
             *keys,
             F.lit(settings.n_topics).alias("n_topics"),
             F.lit(model.lda.vocabSize()).cast("bigint").alias("n_terms"),
             F.lit(model.n_docs).cast("bigint").alias("n_docs"),
         )
-        return pin(phi, "topic_term"), pin(doc_topic(model, own), "doc_topic"), pin(fit, "fit")
+        made = [topic_term(model).select(*keys, "*"), doc_topic(model, own), fit]
+        for kind, rows in enumerate(made):
+            rows.write.parquet(f"{root}/{kind}/fit={number}")
+        return [rows.schema for rows in made]
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        done = [tables for tables in pool.map(run, entities) if tables is not None]
+        done = [shapes for shapes in pool.map(run, enumerate(entities)) if shapes is not None]
     if not done:
         return None
-    return TopicTables(*[reduce(DataFrame.unionByName, column) for column in zip(*done)])
+    return TopicTables(*[
+        spark.read.schema(shape).option("basePath", f"{root}/{kind}").parquet(f"{root}/{kind}/fit=*")
+        .select(*shape.names)
+        for kind, shape in enumerate(done[0])
+    ])
 
 
 def label_topics(tokens: DataFrame, label: str, by: list[str] = ENTITY, doc: str = DOC) -> TopicTables:
@@ -154,13 +168,8 @@ def label_topics(tokens: DataFrame, label: str, by: list[str] = ENTITY, doc: str
     terms = labelled.select(*keys, F.explode("words").alias("term"))
     counts = terms.groupBy(*keys, "term").agg(F.count("*").alias("weight"))
     totals = labelled.groupBy(*keys).agg(F.sum(F.size("words")).alias("_all"))
-    phi = lookup(counts, totals, keys).withColumn("phi", F.col("weight") / F.col("_all")).drop("_all")
+    phi = lookup(counts, pin(totals, "label_totals"), keys).withColumn("phi", F.col("weight") / F.col("_all")).drop("_all")
     theta = labelled.withColumn("n_tokens", F.size("words").cast("bigint")).withColumn("theta", F.lit(1.0))
     fits = tokens.groupBy(*by).agg(F.count("*").alias("n_docs"))
     return TopicTables(phi, theta.drop("words"), fits)
 
-
-__all__ = [
-    "LdaSettings", "TopicModel", "TopicTables", "doc_topic", "fit_lda", "label_topics",
-    "lda_per_entity", "topic_term",
-]
