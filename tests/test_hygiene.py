@@ -1,0 +1,95 @@
+from datetime import date, datetime
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from chorus.operators import hygiene
+from chorus.schema import GOOGLE_PLAY_REVIEWS
+
+RAW = (
+    "reviewId string, userName string, content string, score int, thumbsUpCount int,"
+    " reviewCreatedVersion string, at timestamp, appVersion string, extra string"
+)
+AT = datetime(2024, 1, 2, 3, 4, 5)
+
+
+def raw(spark, *changes):
+    base = dict(zip(
+        "reviewId userName content score thumbsUpCount reviewCreatedVersion at appVersion extra".split(),
+        ["r", "u", "fine", 5, 0, None, AT, None, "x"],
+    ))
+    return spark.createDataFrame([tuple({**base, **c}.values()) for c in changes], RAW)
+
+
+def test_conform_keeps_schema_fields_and_marks_bad_rows(spark):
+    rows = raw(spark, {}, {"reviewId": "n", "content": None}, {"reviewId": "big", "score": 300})
+    checked = hygiene.conform_schema(rows, GOOGLE_PLAY_REVIEWS)
+    assert checked.columns == [*GOOGLE_PLAY_REVIEWS.fieldNames(), "reject_reason"]
+    assert {r.reviewId: r.reject_reason for r in checked.collect()} == {
+        "r": None, "n": "content: missing value", "big": "score: does not fit",
+    }
+    assert hygiene.accepted(checked).count() == 1
+    assert hygiene.rejected(checked).count() == 2
+
+
+def test_conform_strict_fails(spark):
+    strict = hygiene.conform_schema(raw(spark, {"score": 300}), GOOGLE_PLAY_REVIEWS, strict=True)
+    with pytest.raises(PySparkException, match="does not fit"):
+        strict.collect()
+    assert hygiene.conform_schema(raw(spark, {}), GOOGLE_PLAY_REVIEWS, strict=True).count() == 1
+
+
+def test_conform_missing_field(spark):
+    with pytest.raises(ValueError, match="score"):
+        hygiene.conform_schema(raw(spark, {}).drop("score"), GOOGLE_PLAY_REVIEWS)
+
+
+def test_cutoff_is_inclusive_and_optional(spark):
+    rows = spark.createDataFrame([(datetime(2024, 1, d),) for d in (1, 2, 3)], "ts timestamp")
+    assert hygiene.date_cutoff(rows, date(2024, 1, 2)).count() == 2
+    assert hygiene.date_cutoff(rows, datetime(2024, 1, 2, 0, 0, 1)).count() == 1
+    assert hygiene.date_cutoff(rows, None).count() == 3
+    with pytest.raises(TypeError):
+        hygiene.date_cutoff(rows, "2024-01-02")
+
+
+def test_cutoff_reaches_the_scan(spark, sf_dir):
+    cut = hygiene.date_cutoff(spark.read.parquet(f"{sf_dir}/events.parquet"), date(2024, 1, 15)).select("event_id")
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts" in plan
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in plan
+
+
+def test_entity_validation(spark):
+    rows = [
+        ("app_store", "abc", "1", "us", "en", True), ("app_store", "ab", "12345", "us", "en", False),
+        ("app_store", None, "12345", "us", "en", False), ("google_play", None, "abc", "us", "en", True),
+        ("google_play", None, "x" * 50, "us", "en", True), ("google_play", None, "x" * 51, "us", "en", False),
+        ("google_play", None, "abc", "usa", "en", False), ("google_play", None, "abc", "us", "e", False),
+    ]
+    frame = spark.createDataFrame(
+        rows, "store string, app_name string, app_id string, country string, lang string, want boolean"
+    )
+    assert hygiene.entity_validate(frame).filter("valid <> want").count() == 0
+
+
+def test_cap_and_newest(spark):
+    rows = spark.range(1019).select(
+        F.lit("a").alias("app_id"), F.col("id").alias("review_id"),
+        F.timestamp_seconds(F.floor(F.col("id") / 2)).alias("ts"),
+    )
+    capped = hygiene.review_cap(rows, [F.col("review_id")], ["app_id"])
+    assert sorted(r.review_id for r in capped.collect()) == list(range(1000))
+    newest = hygiene.newest_n(rows, ["app_id"])
+    want = sorted(range(1019), key=lambda i: (-(i // 2), i))[:1000]
+    assert sorted(r.review_id for r in newest.collect()) == sorted(want)
+
+
+def test_repeated_page_counts_once(spark):
+    rows = spark.range(20).select(
+        F.lit("s").alias("store"), F.lit("a").alias("app_id"), F.lit("us").alias("country"), F.lit("en").alias("lang"),
+        F.col("id").alias("review_id"), F.lit(AT).alias("ts"),
+    )
+    landed = rows.unionByName(rows).unionByName(rows)
+    assert hygiene.dedup_reviews(landed).count() == 20
