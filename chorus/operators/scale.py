@@ -52,13 +52,14 @@ def gathered(df: DataFrame, by: list[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in by])
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Place rows by key over the session's shuffle partitions.
+def spread(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Place rows by key, by default over the session's shuffle partitions.
 
     The count is given so that adaptive execution does not merge partitions by
     byte size: the text work that follows is far heavier than its bytes suggest.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(most if partitions is None else max(1, min(partitions, most)), key)
 
 
 def _row_bytes(df: DataFrame) -> Column:

@@ -17,6 +17,8 @@ from chorus.operators.corpus import doc_counts, vocabulary
 from chorus.operators.scale import lookup, pin, spread, work_dir
 from chorus.schema import DOC, ENTITY, LDA_ITERATIONS, LDA_SEED, LDA_TOPICS, VOCABULARY_SIZE
 
+DOCS_PER_PARTITION = 2_500
+
 
 @dataclass(frozen=True)
 class LdaSettings:
@@ -39,19 +41,27 @@ class TopicModel:
 
 
 def fit_lda(
-    tokens: DataFrame, terms: DataFrame, settings: LdaSettings = LdaSettings(), doc: str = DOC
+    tokens: DataFrame,
+    terms: DataFrame,
+    settings: LdaSettings = LdaSettings(),
+    doc: str = DOC,
+    n_docs: int | None = None,
 ) -> TopicModel | None:
     """Fit one entity's LDA; ``None`` when no document or no term is left.
 
     ``terms`` is the ranked vocabulary (idx, term): fixing it, and the placement
     and order of documents, makes the fit repeatable. The vocabulary and the
-    topic matrix live on the driver; both are bounded by ``vocab_size``.
+    topic matrix live on the driver; both are bounded by ``vocab_size``. Every
+    partition sends a topic matrix to each iteration's sum, so documents are
+    placed in as few partitions as their number (counted when not given) needs.
     """
+    n_docs = tokens.count() if n_docs is None else n_docs
     listed = [r.term for r in terms.orderBy("idx").select("term").collect()]
     if not listed:
         return None
     counter = CountVectorizerModel.from_vocabulary(listed, inputCol="words", outputCol="tf")
-    laid = spread(tokens.select(doc, "words"), doc).sortWithinPartitions(doc)
+    parts = -(-n_docs // DOCS_PER_PARTITION)
+    laid = spread(tokens.select(doc, "words"), doc, parts).sortWithinPartitions(doc)
     counts = counter.transform(laid).select("tf")
     weights = IDF(inputCol="tf", outputCol="tf_idf").fit(counts)
     if not weights.numDocs:
@@ -126,16 +136,16 @@ def lda_per_entity(
     spark = tokens.sparkSession
     tokens = pin(tokens, "tokens", by)
     terms = pin(vocabulary(tokens, by, doc, settings.vocab_size, settings.min_df), "vocabulary", by)
-    entities = [r.asDict() for r in doc_counts(tokens, by).select(*by).orderBy(*by).collect()]
+    entities = [r.asDict() for r in doc_counts(tokens, by).orderBy(*by).collect()]
     root = f"{work_dir(spark)}/fits-{uuid4().hex}"
 
     def of(df: DataFrame, entity: dict) -> DataFrame:
-        return df.filter(reduce(lambda a, b: a & b, [F.col(c) == F.lit(v) for c, v in entity.items()]))
+        return df.filter(reduce(lambda a, b: a & b, [F.col(c) == F.lit(entity[c]) for c in by]))
 
     def run(job: tuple[int, dict]) -> list[T.StructType] | None:
         number, entity = job
         own = of(tokens, entity)
-        model = fit_lda(own, of(terms, entity), settings, doc)
+        model = fit_lda(own, of(terms, entity), settings, doc, entity["n_docs"])
         if model is None:
             return None
         keys = [F.lit(entity[c]).cast(tokens.schema[c].dataType).alias(c) for c in by]

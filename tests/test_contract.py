@@ -26,8 +26,7 @@ def test_query_without_sql_returns_rows(spark, sf_dir, name):
 
 def test_only_models_and_documents_lack_sql():
     assert WITHOUT_SQL == sorted([
-        "topic_result_json", "lda_fit", "topic_term", "doc_topic", "lda_per_entity", "lda_validate",
-        "top_terms_per_topic", "topic_coordinates", "topic_summary", "lda_relevance",
+        "topic_term", "doc_topic", "top_terms_per_topic", "topic_coordinates", "topic_summary", "lda_relevance",
     ])
     assert set(SQL) <= set(contract.queries())
 
