@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS = 20_000
 TOP_SALTS = 32
 
 _local_dirs: dict[str, str] = {}
@@ -90,16 +89,19 @@ def lookup(
     """Join many ``rows`` to a ``table`` that holds one row per (non-null) key.
 
     ``table`` is read more than once: pass a written table unless it is cheap.
-    Measured below ``limit`` bytes it is broadcast. Beyond it, each key
-    gets a load, the number of rows it will meet: the column named by ``load``,
-    or counted from ``rows``. Keys above 1/``hot_keys`` of all load number fewer
-    than ``hot_keys`` by arithmetic, so they are broadcast and their rows are
-    never shuffled; every remaining key is light and takes a shuffle join.
+    Measured below ``limit`` bytes it is broadcast. Beyond it, each key gets a
+    load, the number of rows it will meet: the column named by ``load``, or
+    counted from ``rows``. A key is hot when it alone would fill a shuffle
+    partition's fair share, 1/``hot_keys`` of all load (default: the session's
+    shuffle partitions), so there are fewer hot keys than that by arithmetic.
+    Hot keys are broadcast and their rows never shuffled; all others are light
+    and take a shuffle join. Without a hot key it is a plain shuffle join.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
     limit = BROADCAST_BYTES if limit is None else limit
-    hot_keys = HOT_KEYS if hot_keys is None else hot_keys
+    if hot_keys is None:
+        hot_keys = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if measure(table) <= limit:
         return rows.join(F.broadcast(table), keys, how)
     counted = load is None or how == "left"
@@ -109,12 +111,15 @@ def lookup(
         table = pin(met.join(table.withColumn("_known", F.lit(True)), keys, "left"), "lookup")
     cut = (table.agg(F.sum(load)).first()[0] or 0) / hot_keys
     hot = table.filter(F.col(load) > cut)
-    while measure(hot) > limit and cut > 0:
+    while (size := measure(hot)) > limit and cut > 0:
         cut *= 2
         hot = table.filter(F.col(load) > cut)
-    light = table.filter(F.col(load) <= cut)
-    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    joined = rows.join(F.broadcast(hot), keys).unionByName(rest.join(light, keys))
+    if size:
+        light = table.filter(F.col(load) <= cut)
+        rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+        joined = rows.join(F.broadcast(hot), keys).unionByName(rest.join(light, keys))
+    else:
+        joined = rows.join(table, keys)
     if not counted:
         return joined
     if how == "inner":
