@@ -150,25 +150,23 @@ def topic_distance(topic_term: DataFrame, by: list[str] = ENTITY) -> DataFrame:
     JS = (H_a + H_b) / 2 - H_ab with H = sum p ln p. Each term turns into one
     vector holding its contribution to all H and H_ab, and vectors are summed
     inside the tasks, so no row per pair and term is ever produced or shuffled.
+    Seats an entity does not use stay zero and belong to no pair.
     """
     topics = pin(topic_list(topic_term, by), "topics")
-    seats = topics.groupBy(*by).agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("seat", "topic"))), lambda s: s["topic"]
-    ).alias("_topics"))
-    by_term = topic_term.groupBy(*by, "term").agg(
-        F.map_from_entries(F.collect_list(F.struct("topic", "phi"))).alias("_phi")
-    )
-    dense = F.transform("_topics", lambda t: F.coalesce(F.try_element_at("_phi", t), F.lit(0.0)))
-    terms = lookup(by_term, seats, by).select(*by, F.explode(F.array(dense)).alias("_p"))
+    k = (topics.agg(F.max("seat")).first()[0] or 0) + 1
+    seated = lookup(topic_term.select(*by, "topic", "term", "phi"), topics, [*by, "topic"])
+    at_seat = [F.sum(F.when(F.col("seat") == i, F.col("phi")).otherwise(0.0)).alias(f"_p{i}") for i in range(k)]
+    by_term = seated.groupBy(*by, "term").agg(*at_seat)
+    terms = by_term.select(*by, F.explode(F.array(F.array(*[f"_p{i}" for i in range(k)]))).alias("_p"))
     mixed = F.flatten(F.transform("_p", lambda p, i: F.transform(
         F.slice("_p", i + 2, F.size("_p")), lambda q: _xlogx((p + q) / 2)
     )))
     parts = terms.select(*by, array_to_vector(F.concat(F.transform("_p", _xlogx), mixed)).alias("_v"))
     sums = parts.groupBy(*by).agg(vector_to_array(Summarizer.sum(F.col("_v"))).alias("_h"))
-    a, b, k = F.col("a"), F.col("b"), F.col("_k")
+    a, b = F.col("a"), F.col("b")
     slot = (k + a * (2 * k - a - 1) / 2 + (b - a - 1)).cast("int")
     value = (F.get("_h", a) + F.get("_h", b)) / 2 - F.get("_h", slot)
-    seen = topic_pairs(topics, by).join(seats.select(*by, F.size("_topics").alias("_k")), by).join(sums, by)
+    seen = topic_pairs(topics, by).join(sums, by)
     return seen.select(*by, "topic_a", "topic_b", F.greatest(value, F.lit(0.0)).alias("distance"))
 
 
