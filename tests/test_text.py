@@ -40,8 +40,8 @@ def test_a_language_without_list_uses_english(spark):
 
 
 def test_slug(spark):
-    got = values(spark, ["CarX  Street_2! Гонки", "_a_", "é&à"], tx.slug(F.col("text")))
-    assert got == ["carx-street-2-гонки", "-a-", "é-à"]
+    got = values(spark, ["Race  Town_2! Гонки", "_a_", "é&à"], tx.slug(F.col("text")))
+    assert got == ["race-town-2-гонки", "-a-", "é-à"]
 
 
 def test_dates_are_strict(spark):
@@ -56,7 +56,7 @@ def test_offsets(spark):
 
 
 def test_keys_and_links(spark):
-    row = spark.createDataFrame([("CarX Street", "123", "US", "EN")], "n string, a string, c string, l string")
+    row = spark.createDataFrame([("Race Town", "123", "US", "EN")], "n string, a string, c string, l string")
     c = F.col
     got = row.select(
         tx.entity_key(F.lit("app_store"), c("n"), c("a"), c("c"), c("l")),
@@ -67,9 +67,9 @@ def test_keys_and_links(spark):
         tx.app_id_in(F.lit("no link")),
     ).first()
     assert list(got) == [
-        "app_store/carx street_123_us_en.parquet",
+        "app_store/race town_123_us_en.parquet",
         "google_play/com.x_us_en.parquet",
-        "https://apps.apple.com/us/app/carx-street/id123",
+        "https://apps.apple.com/us/app/race-town/id123",
         "https://amp-api.apps.apple.com/v1/catalog/us/apps/123/reviews",
         "123",
         None,
