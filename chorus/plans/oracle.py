@@ -1,26 +1,24 @@
 """The same results stated as plain SQL for an independent engine (DuckDB).
 
-The statements share no code with the operators. Stop words come from the lists
-shipped inside Spark's own jar, read as a file.
+The statements share no code with the operators. Stop words come from the text
+files in ``stop_words``, so neither a session nor Spark's jars are needed.
 """
 
-import glob
-import os
-import zipfile
 from functools import cache
-
-import pyspark
+from pathlib import Path
 
 LANGS = {"de": "german", "en": "english", "es": "spanish", "fr": "french"}
 
 
 @cache
+def stop_list(language: str) -> list[str]:
+    lines = (Path(__file__).parent / "stop_words" / f"{language}.txt").read_text("utf-8").splitlines()
+    return [w for w in lines if w and not w.startswith("#")]
+
+
 def _stop_list(language: str) -> str:
-    jar = glob.glob(os.path.join(pyspark.__path__[0], "jars", "spark-mllib_*.jar"))[0]
-    with zipfile.ZipFile(jar) as archive:
-        text = archive.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-    words = [w.strip().replace("'", "''") for w in text.splitlines() if w.strip()]
-    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    quoted = [w.replace("'", "''") for w in stop_list(language)]
+    return "[" + ", ".join(f"'{w}'" for w in quoted) + "]"
 
 
 RAW = r"string_split_regex(lower(regexp_replace(text, '[[:punct:]]', ' ', 'g')), '[ \t\n\x0B\f\r]')"

@@ -1,9 +1,15 @@
 """Every catalogue query against its SQL, and the driver contract."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
+from pyspark.ml.feature import StopWordsRemover
 
 import __spark_entry__ as contract
 from check import compare, database
+from chorus.plans import oracle
 
 SQL = contract.oracle_sql()
 WITHOUT_SQL = sorted(set(contract.queries()) - set(SQL))
@@ -31,6 +37,22 @@ def test_only_models_and_documents_lack_sql():
     assert set(SQL) <= set(contract.queries())
 
 
+@pytest.mark.parametrize("language", sorted(oracle.LANGS.values()))
+def test_stop_lists_equal_sparks(spark, language):
+    assert oracle.stop_list(language) == StopWordsRemover.loadDefaultStopWords(language)
+
+
+def test_sql_needs_no_session_and_no_jars(tmp_path):
+    """The statements are built in a process whose pyspark package has no jars."""
+    code = (
+        "import os, sys; os.environ['SPARK_HOME'] = sys.argv[1]; "
+        "import __spark_entry__ as e; assert len(e.oracle_sql()) > 70; "
+        "from pyspark.sql import SparkSession; assert SparkSession.getActiveSession() is None"
+    )
+    root = Path(contract.__file__).parent
+    subprocess.run([sys.executable, "-c", code, str(tmp_path)], cwd=root, check=True, timeout=120)
+
+
 def test_entry(spark):
     got = contract.entry(spark)
     assert got.columns == ["store", "topic", "lambda", "rank", "term", "relevance"]
