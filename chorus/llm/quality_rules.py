@@ -15,6 +15,7 @@ from chorus.llm.common import words
 from chorus.operators.scale import pin
 
 SYMBOLS = "[#*$%&|<>]"
+RUNS = r"[!-/:-@\[-`{-~]{2,}"
 WINDOW = 3
 FEW_REPEATS = 24
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -40,12 +41,11 @@ def _ratio(part: Column, whole: Column) -> Column:
 def rules() -> list[Rule]:
     n, lines = F.col("_n"), F.col("_n_lines")
     return [
-        Rule("symbols", _ratio(F.col("_n_symbols"), n), 0.02, 0.10),
+        Rule("odd_characters", _ratio(F.col("_n_symbols") + F.col("_n_odd"), F.col("_word_chars")), 0.06, 0.12),
+        Rule("decorated_words", _ratio(F.col("_n_runs"), n), 0.10, 0.40),
         Rule("repeated_lines", F.when(lines > 1, _ratio(F.col("_n_dup_lines"), lines)), 0.05, 0.30),
         Rule("repeated_words", _ratio(F.col("_n_repeat_words"), n), 0.20, 0.40),
         Rule("word_length", F.abs(_ratio(F.col("_word_chars"), n) - 5.5), 2.5, 4.5),
-        Rule("capitals", _ratio(F.col("_n_capitals"), F.col("_word_chars")), 0.10, 0.30),
-        Rule("digits", _ratio(F.col("_n_digits"), F.col("_word_chars")), 0.05, 0.25),
     ]
 
 
@@ -101,12 +101,12 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         lines.alias("_lines"),
         *[
             (F.length(body) - F.length(F.regexp_replace(body, chars, ""))).cast("bigint").alias(name)
-            for name, chars in (("_n_symbols", SYMBOLS), ("_n_capitals", r"\p{Lu}"), ("_n_digits", r"\p{Nd}"))
+            for name, chars in (("_n_symbols", SYMBOLS), ("_n_odd", r"[\p{Lu}\p{Nd}]"), ("_n_runs", RUNS))
         ],
     )
     w = F.col("_words")
     counted = split.select(
-        *kept, "_n_symbols", "_n_capitals", "_n_digits",
+        *kept, "_n_symbols", "_n_odd", "_n_runs",
         F.size(w).cast("bigint").alias("_n"),
         F.length(F.array_join(w, "")).cast("bigint").alias("_word_chars"),
         F.size("_lines").cast("bigint").alias("_n_lines"),

@@ -4,12 +4,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chorus.llm import chat, quality_rules
+from chorus.llm import chat, quality_rules, warc
 from chorus.llm.common import table
 
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.pages_through_warc(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hostile = spark.range(2).selectExpr(
@@ -24,7 +28,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_chat_formatting, op9_quality_rules)
+    f.__name__: f for f in (op1_warc, op4_chat_formatting, op9_quality_rules)
 }
 
 _CHAT = f"""
@@ -41,4 +45,12 @@ _CHAT = f"""
            sum(marked + CASE WHEN opens THEN 24 + length(role) ELSE 10 END)::BIGINT AS formatted_chars
     FROM near GROUP BY conv_id"""
 
-SQL: dict[str, str] = {"op4_chat_formatting": _CHAT}
+_WARC = """
+    WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS size, sha256(coalesce(html, '')) AS digest
+               FROM pages),
+    f AS (SELECT *, CASE WHEN size >= 100 THEN min(page_id) OVER (PARTITION BY digest) ELSE page_id END AS first FROM p)
+    SELECT page_id, size::BIGINT AS payload_bytes, digest AS payload_digest,
+           CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN first < page_id THEN first END AS refers_to FROM f"""
+
+SQL: dict[str, str] = {"op1_warc": _WARC, "op4_chat_formatting": _CHAT}
