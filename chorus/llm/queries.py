@@ -2,11 +2,13 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chorus.llm import chat, quality_rules, warc
+from chorus.llm import bpe, chat, quality_rules, warc
 from chorus.llm.common import table
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -22,13 +24,17 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(chat.format_chats(given.unionByName(hostile)))
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str, tokenizer: str = TOKENIZER) -> DataFrame:
+    return bpe.token_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.quality_rules(docs)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op4_chat_formatting, op9_quality_rules)
+    f.__name__: f for f in (op1_warc, op4_chat_formatting, op5_bpe, op9_quality_rules)
 }
 
 _CHAT = f"""
