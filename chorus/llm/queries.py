@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chorus.llm import bpe, chat, quality_rules, warc
+from chorus.llm import bpe, chat, decontaminate, quality_rules, warc
 from chorus.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -28,13 +28,17 @@ def op5_bpe(spark: SparkSession, sf_dir: str, tokenizer: str = TOKENIZER) -> Dat
     return bpe.token_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.quality_rules(docs)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op4_chat_formatting, op5_bpe, op9_quality_rules)
+    f.__name__: f for f in (op1_warc, op4_chat_formatting, op5_bpe, op7_decontamination, op9_quality_rules)
 }
 
 _CHAT = f"""
@@ -59,4 +63,20 @@ _WARC = """
            CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
            CASE WHEN first < page_id THEN first END AS refers_to FROM f"""
 
-SQL: dict[str, str] = {"op1_warc": _WARC, "op4_chat_formatting": _CHAT}
+_LEAKS = r"""
+    WITH words AS (
+        SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+    split AS (SELECT kind, id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'),
+                                           lambda x: x <> '') AS w FROM words),
+    runs AS (SELECT DISTINCT kind, id, s FROM (
+        SELECT kind, id, unnest(CASE WHEN len(w) >= 5
+            THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+            WHEN len(w) > 0 THEN ['whole ' || array_to_string(w, ' ')] END) AS s FROM split)),
+    items AS (SELECT id, s, count(*) OVER (PARTITION BY id) AS n FROM runs WHERE kind = 'i')
+    SELECT d.id AS doc_id, items.id AS item_id, count(*) AS n_shared, n AS n_item, count(*) / n AS containment
+    FROM items JOIN runs d ON d.kind = 'd' AND d.s = items.s
+    GROUP BY d.id, items.id, n HAVING 100 * count(*) >= 80 * n"""
+
+SQL: dict[str, str] = {
+    "op1_warc": _WARC, "op4_chat_formatting": _CHAT, "op7_decontamination": _LEAKS.replace("\\p", "\p"),
+}
