@@ -4,9 +4,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chorus.llm import bpe, chat, decontaminate, quality_rules, warc
-from chorus.llm.common import table
+from chorus.llm import bpe, chat, decontaminate, ngram_lm, quality_rules, warc
+from chorus.llm.common import held_out, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
@@ -37,8 +38,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(docs)
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held_out(F.col("doc_id"), 7, 2)
+    model = ngram_lm.fit(docs.filter(~out), ngram_lm.new_model_path(spark))
+    return ngram_lm.score(docs, model).select(
+        "doc_id", out.alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op4_chat_formatting, op5_bpe, op7_decontamination, op9_quality_rules)
+    f.__name__: f for f in (op1_warc, op4_chat_formatting, op5_bpe, op7_decontamination, op9_quality_rules, op10_lm_scoring)
 }
 
 _CHAT = f"""
@@ -78,5 +89,5 @@ _LEAKS = r"""
     GROUP BY d.id, items.id, n HAVING 100 * count(*) >= 80 * n"""
 
 SQL: dict[str, str] = {
-    "op1_warc": _WARC, "op4_chat_formatting": _CHAT, "op7_decontamination": _LEAKS.replace("\\p", "\p"),
+    "op1_warc": _WARC, "op4_chat_formatting": _CHAT, "op7_decontamination": _LEAKS,
 }
