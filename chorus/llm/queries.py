@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorus.llm import bpe, chat, decontaminate, ngram_lm, quality_rules, warc
+from chorus.llm import bpe, chat, decontaminate, ngram_lm, quality_knn, quality_rules, warc
 from chorus.llm.common import held_out, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -29,6 +29,16 @@ def op5_bpe(spark: SparkSession, sf_dir: str, tokenizer: str = TOKENIZER) -> Dat
     return bpe.token_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer)
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held_out(F.col("doc_id"), 3, 1)
+    known = quality_knn.with_labels(docs.filter(~out), table(spark, sf_dir, "labels"), "quality")
+    scored = quality_knn.score(docs, quality_knn.fit(known, "quality"))
+    return scored.select(
+        "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -49,7 +59,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op4_chat_formatting, op5_bpe, op7_decontamination, op9_quality_rules, op10_lm_scoring)
+    f.__name__: f for f in (op1_warc, op4_chat_formatting, op5_bpe, op6_quality_classifier, op7_decontamination, op9_quality_rules, op10_lm_scoring)
 }
 
 _CHAT = f"""
