@@ -4,24 +4,27 @@ Each leaf of a word's tree holds ``rank * width + place`` of an adjacent pair,
 so the root is the leftmost pair of lowest rank. A merge changes three leaves,
 each followed to the root. Words of one width stand in one matrix, a forest of
 trees that numpy advances together. Pieces between white space are remembered
-per worker, in a table of bounded size.
+per worker, by hash, in a table of bounded size.
 """
 
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chorus.llm.common import fresh
+from chorus.llm.vector_text import Texts, texts
 
-REMEMBERED = 700_000
+REMEMBERED = 1_500_000
 #: What a vocabulary pattern means by white space; Python adds U+001C to U+001F.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 NONE = np.iinfo(np.int64).max
@@ -47,8 +50,10 @@ class Encoder:
         if model["type"] != "BPE" or kinds != ["NFC", "Replace", "Lowercase", "Split", "ByteLevel"]:
             raise ValueError(f"unsupported tokenizer: {model['type']}, {kinds}")
         vocab, letters, end = model["vocab"], _byte_letters(), model["end_of_word_suffix"]
-        self.special = {t["content"]: t["id"] for t in given["added_tokens"]}
-        self.text_of = {i: t for t, i in (vocab | self.special).items()}
+        self.special = {t["content"].encode(): t["id"] for t in given["added_tokens"]}
+        every = vocab | {t["content"]: t["id"] for t in given["added_tokens"]}
+        named = {i: t for t, i in every.items()}
+        self.strings = pa.array([named.get(i, "") for i in range(max(named) + 1)])
         self.inner = np.array([vocab[c] for c in letters], np.int32)
         self.last = np.array([vocab[c + end] for c in letters], np.int32)
         self.base = np.int64(len(vocab) + 1)
@@ -58,10 +63,8 @@ class Encoder:
         self.keys, self.ranks = keys[order], order.astype(np.int64)
         self.made = np.array([vocab[a + b] for a, b in merges], np.int32)
         self.pattern = regex.compile(steps[0]["pattern"]["Regex"].replace("\\s", SPACE))
-        self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.space = regex.compile(f"[{SPACE}]+")
-        self.odd_space = regex.compile("[\\x1c-\\x1f]")
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.marks = re.compile(b"|".join(map(re.escape, self.special))) if self.special else None
+        self._forget()
 
     # -- merging
 
@@ -141,12 +144,7 @@ class Encoder:
 
     # -- texts
 
-    def _pieces(self, text: str) -> list[str]:
-        if self.odd_space.search(text):
-            return [p for p in self.space.split(text) if p]
-        return text.split()
-
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
         """Remember the ids of pieces not seen before."""
         parts = []
         for p in pieces:
@@ -159,33 +157,58 @@ class Encoder:
                 parts.append(self.pattern.findall(p))
         words = list(dict.fromkeys(chain.from_iterable(parts)))
         ids = dict(zip(words, self.merged([w.encode() for w in words]), strict=True)) if words else {}
-        for p, found in zip(pieces, parts, strict=True):
-            self.known[p] = ids[found[0]] if len(found) == 1 else tuple(chain.from_iterable(ids[w] for w in found))
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of every text; strings of special tokens inside a text become those tokens."""
+        found = [ids[w[0]] if len(w) == 1 else tuple(chain.from_iterable(map(ids.__getitem__, w))) for w in parts]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        start = len(self.flat) + np.cumsum(size) - size
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.int32, int(size.sum()))])
+        known = np.concatenate([self.known, hashes])
+        order = np.argsort(known, kind="stable")
+        self.known = known[order]
+        self.start = np.concatenate([self.start, start])[order]
+        self.size = np.concatenate([self.size, size])[order]
+
+    def _forget(self) -> None:
+        self.known, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def encode(self, group: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and per text the number of ids before it.
+
+        Strings of special tokens inside a text become those tokens.
+        """
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        cut = []
-        for text in texts:
-            if self.marks is not None and "<" in text and self.marks.search(text):
-                cut.append([
-                    x for k, part in enumerate(self.marks.split(text))
-                    for x in ([self.special[part]] if k % 2 else self._pieces(part))
-                ])
-            else:
-                cut.append(self._pieces(text))
-        known = self.known
-        new = {p for pieces in cut for p in pieces if p not in known}
-        for mark in [p for p in new if isinstance(p, int)]:
-            known[mark] = (mark,)
-            new.discard(mark)
-        self._learn(sorted(new))
-        known = self.known
-        return [np.fromiter(chain.from_iterable(map(known.__getitem__, pieces)), np.int32) for pieces in cut]
-
-    def decode(self, ids: list[int]) -> str:
-        return " ".join(map(self.text_of.__getitem__, ids))
+            self._forget()
+        raw = group.data.tobytes()
+        marks = list(self.marks.finditer(raw)) if self.marks is not None and b"<" in raw else []
+        if marks:
+            # blank the marks out and cut the pieces there
+            data = group.data.copy()
+            for m in marks:
+                data[m.start():m.end()] = 32
+            clear = Texts(group.first, data, group.offsets)
+        else:
+            clear = group
+        starts, ends, counts = clear.spans()
+        hashes = clear.hashes(starts, ends, clear.prefix_hashes(lower=True))
+        unique, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.known, unique)
+        new = np.ones(len(unique), bool)
+        inside = at < len(self.known)
+        new[inside] = self.known[at[inside]] != unique[inside]
+        if new.any():
+            fresh_at = first[new]
+            bounds = zip(starts[fresh_at].tolist(), ends[fresh_at].tolist(), strict=True)
+            self._learn(unique[new], [raw[a:b].decode() for a, b in bounds])
+            at = np.searchsorted(self.known, unique)
+        start, size = self.start[at][back], self.size[at][back]
+        per_piece = np.concatenate([[0], np.cumsum(size)])
+        ids = self.flat[np.repeat(start - per_piece[:-1], size) + np.arange(per_piece[-1])]
+        before = per_piece[counts]
+        if marks:
+            places = np.array([m.start() for m in marks])
+            ids = np.insert(ids, per_piece[np.searchsorted(starts, places)], [self.special[m.group()] for m in marks])
+            before = before + np.searchsorted(places, group.offsets)
+        return ids, before
 
 
 _encoders: dict[str, Encoder] = {}
@@ -201,57 +224,51 @@ def _encoder(shared) -> Encoder:
     return _encoders[key]
 
 
-#: Texts encoded together: few enough to bound a batch's new pieces.
-CHARS_AT_ONCE = 4_000_000
-
-
 def _shared(df: DataFrame, tokenizer: str):
     """The tokenizer file's text, sent to the workers once; its size is the vocabulary's."""
     with open(tokenizer, encoding="utf-8") as f:
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
-def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def joined(encoder: Encoder, ids: pa.ListArray) -> pa.Array:
+    """The strings of the tokens of every list, with a space between; null is as empty."""
+    ids = pc.coalesce(ids, pa.scalar([], ids.type))
+    strings = encoder.strings.take(ids.flatten())
+    offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False))])
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), strings), " ")
+
+
+def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """Add ``ids`` array<int>, the tokens of the whole ``text``; null and empty texts have none.
 
-    Equals the tokenizers library's ``encode`` without added special tokens. A
-    column of that name is replaced; every other column is kept, ``text`` as
+    Equals the tokenizers library's ``encode`` without added special tokens, and
+    ``decoded``, if named, its ``decode`` of those ids with special tokens kept.
+    Columns of these names are replaced; every other column is kept, ``text`` as
     well. Rows are encoded where they lie, without a shuffle, and each alone,
     so repeated rows and ties do not matter; an empty table stays empty.
     """
     shared = _shared(docs, tokenizer)
-    kept = docs.drop(ids)
+    kept = docs.drop(ids, *([decoded] if decoded else []))
     schema = T.StructType([*kept.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    if decoded:
+        schema = schema.add(decoded, T.StringType())
     column = kept.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared)
         for batch in batches:
-            start, rows = 0, batch.num_rows
-            while start < rows:
-                stop, held = start, 0
-                texts = []
-                while stop < rows and held < CHARS_AT_ONCE:
-                    texts.append(batch.column(column)[stop].as_py() or "")
-                    held += len(texts[-1])
-                    stop += 1
-                got = encoder.encode(texts)
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in got])]).astype(np.int32)
-                flat = pa.array(np.concatenate(got) if got else np.zeros(0, np.int32), pa.int32())
-                part = batch.slice(start, stop - start)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.ListArray.from_arrays(pa.array(offsets), flat)], names=schema.names
-                )
-                start = stop
+            for group in texts(batch.column(column)):
+                flat, before = encoder.encode(group)
+                lists = pa.ListArray.from_arrays(pa.array(before.astype(np.int32)), pa.array(flat.astype(np.int32)))
+                part = batch.slice(group.first, len(group))
+                more = [joined(encoder, lists)] if decoded else []
+                yield pa.RecordBatch.from_arrays([*part.columns, lists, *more], names=schema.names)
 
     return kept.mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """Add ``decoded``, the string of the tokens in ``ids``, special ones included; null is as empty.
-
-    Equals the tokenizers library's ``decode`` with special tokens kept.
-    """
+    """Add ``decoded``, the string of the tokens in ``ids``, special ones included; null is as empty."""
     shared = _shared(encoded, tokenizer)
     kept = encoded.drop(decoded)
     schema = T.StructType([*kept.schema.fields, T.StructField(decoded, T.StringType())])
@@ -260,8 +277,8 @@ def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", decoded: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared)
         for batch in batches:
-            texts = [encoder.decode(x.as_py() or []) for x in batch.column(column)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
+            made = joined(encoder, batch.column(column))
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=schema.names)
 
     return kept.mapInArrow(run, schema)
 
@@ -269,8 +286,7 @@ def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", decoded: str =
 def token_digests(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document the number of tokens and digests of ids and of the decoded text."""
     ids, decoded = fresh([key, text], "ids", "decoded")
-    encoded = encode(docs.select(key, text), tokenizer, text, ids).drop(text)
-    both = decode(encoded, tokenizer, ids, decoded)
+    both = encode(docs.select(key, text), tokenizer, text, ids, decoded)
     return both.select(
         key,
         F.size(ids).cast("bigint").alias("n_tokens"),

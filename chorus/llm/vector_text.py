@@ -10,7 +10,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-AT_ONCE = 4 << 20
+AT_ONCE = 1 << 20
 _RANDOM = np.random.default_rng(20240229)
 _VALUES = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = int(_RANDOM.integers(2**62, 2**63)) * 2 + 1
