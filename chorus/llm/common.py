@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chorus.operators.scale import lookup, semi
+
 WORD_GAP = r"[ \t\n\x0B\f\r]+"
 
 
@@ -21,6 +23,21 @@ def held_out(key: Column, modulus: int, remainder: int) -> Column:
     return key.isNotNull() & (F.pmod(code, F.lit(modulus)) == remainder)
 
 
+def rows_of(docs: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """Rows whose key, null included, is wanted; they move only if the keys are too many to broadcast."""
+    mark = fresh(docs.columns, "mark")[0]
+    keyed = docs.withColumn(mark, F.struct(F.col(key)))
+    return semi(keyed, wanted.select(F.struct(F.col(key)).alias(mark)), [mark]).drop(mark)
+
+
+def rows_without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """Rows whose key, null included, is not in ``gone`` (distinct keys); columns stay as they are."""
+    mark, hit = fresh(docs.columns, "mark", "hit")
+    marked = docs.withColumn(mark, F.struct(F.col(key)))
+    table = gone.select(F.struct(F.col(key)).alias(mark), F.lit(True).alias(hit))
+    return lookup(marked, table, [mark], how="left").filter(F.col(hit).isNull()).select(*docs.columns)
+
+
 def fresh(names: list[str], *wanted: str) -> list[str]:
     """Column names close to ``wanted`` that do not clash, whatever their case, with ``names``."""
     taken = {n.lower() for n in names}

@@ -10,8 +10,8 @@ with at most m = n - ceil(t * n) missing shows one of its m + 1 smallest.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chorus.llm.common import fresh
-from chorus.operators.scale import lookup, match_null_safe, pin, semi
+from chorus.llm.common import rows_of, rows_without
+from chorus.operators.scale import match_null_safe, pin, semi
 
 SHINGLE_WORDS = 5
 CONTAINED = 0.8
@@ -88,7 +88,7 @@ def contained_items(
     pairs = pin(met.filter(F.col("met") >= F.col("n_sketch") - allowed).select(key, "item_id", "n_item"), "pairs")
 
     wanted = pairs.select(key).distinct()
-    again = _with_shingles(_of(docs.select(key, text), wanted, key), [key], text, k)
+    again = _with_shingles(rows_of(docs.select(key, text), wanted, key), [key], text, k)
     members = _one_per_row(sketches, "item_id")
     found = pin(semi(_one_per_row(again, key), members, ["s"]).distinct(), "found")
     possible = match_null_safe(pairs, members, ["item_id"], "inner")
@@ -100,17 +100,7 @@ def contained_items(
     )
 
 
-def _of(docs: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """Rows whose key, null included, is wanted; text moves only if the keys are too many to broadcast."""
-    mark = fresh(docs.columns, "mark")[0]
-    keyed = docs.withColumn(mark, F.struct(F.col(key)))
-    return semi(keyed, wanted.select(F.struct(F.col(key)).alias(mark)), [mark]).drop(mark)
-
-
 def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that contain no item; repeated rows share their fate, columns stay."""
     bad = pin(contained_items(docs, items, key, text).select(key).distinct(), "contaminated")
-    mark, hit = fresh(docs.columns, "mark", "hit")
-    marked = docs.withColumn(mark, F.struct(F.col(key)))
-    table = bad.select(F.struct(F.col(key)).alias(mark), F.lit(True).alias(hit))
-    return lookup(marked, table, [mark], how="left").filter(F.col(hit).isNull()).select(*docs.columns)
+    return rows_without(docs, bad, key)

@@ -139,6 +139,23 @@ def shingles(words: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray,
     return out, owner
 
 
+def shingle_sets(group: Texts, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles of every text, sorted, end to end, and per text the number before it."""
+    words, counts = group.words()
+    values, owner = shingles(words, counts, k)
+    n = np.diff(counts)
+    if ((n > 0) & (n < k)).any():
+        order = np.argsort(owner, kind="stable")
+        values, owner = values[order], owner[order]
+    bounds = np.searchsorted(owner, np.arange(len(group) + 1))
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        values[a:b].sort()
+    new = np.ones(len(values), bool)
+    new[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
+    before = np.concatenate([[0], np.cumsum(new)])
+    return values[new], before[bounds]
+
+
 def _ranges(per: np.ndarray) -> np.ndarray:
     """0, 1, ... per[0] - 1, 0, 1, ... per[1] - 1, and so on."""
     ends = np.cumsum(per)
