@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorus.llm import bpe, chat, decontaminate, jaccard_join, ngram_lm, quality_knn, quality_rules, warc
+from chorus.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    jaccard_join,
+    line_dedup,
+    ngram_lm,
+    quality_knn,
+    quality_rules,
+    warc,
+)
 from chorus.llm.common import held_out, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -17,6 +27,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.pages_through_warc(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=90)
 
@@ -63,7 +77,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op3_jaccard_join, op4_chat_formatting, op5_bpe, op6_quality_classifier, op7_decontamination, op9_quality_rules, op10_lm_scoring)
+    f.__name__: f for f in (op1_warc, op2_line_dedup, op3_jaccard_join, op4_chat_formatting, op5_bpe, op6_quality_classifier, op7_decontamination, op9_quality_rules, op10_lm_scoring)
 }
 
 _CHAT = f"""
