@@ -15,6 +15,7 @@ from chorus.llm import (
     ngram_lm,
     quality_knn,
     quality_rules,
+    substring_dedup,
     warc,
 )
 from chorus.llm.common import held_out, table
@@ -61,6 +62,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.quality_rules(docs)
@@ -77,7 +83,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op2_line_dedup, op3_jaccard_join, op4_chat_formatting, op5_bpe, op6_quality_classifier, op7_decontamination, op9_quality_rules, op10_lm_scoring)
+    f.__name__: f for f in (op1_warc, op2_line_dedup, op3_jaccard_join, op4_chat_formatting, op5_bpe, op6_quality_classifier, op7_decontamination, op8_suffix_array_dedup, op9_quality_rules, op10_lm_scoring)
 }
 
 _CHAT = f"""
