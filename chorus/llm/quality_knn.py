@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chorus.llm.vector_text import Texts, distinct, shingles, texts
 from chorus.operators.scale import lookup, pin
@@ -167,24 +168,27 @@ def fit(labelled: DataFrame, label: str, text: str = "text", most: int = MAX_LAB
     return Space(idf, scale, basis, _unit(rows.astype(np.float32) @ basis), labels, float(mean))
 
 
-def score(docs: DataFrame, space: Space, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row ``key, score``: the share of label 1 among the neighbours of its whole text, from 0 to 1.
+def with_score(docs: DataFrame, space: Space, text: str = "text", score: str = "score") -> DataFrame:
+    """Add ``score``: the share of label 1 among the neighbours of the whole text, from 0 to 1.
 
-    Null and empty texts are scored as any other text without a character.
+    Null and empty texts are scored as any other text without a character. Every
+    row is scored for itself where it lies; a column of that name is replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(space)
+    kept = docs.drop(score)
+    schema = T.StructType([*kept.schema.fields, T.StructField(score, T.DoubleType())])
+    column = kept.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for group in texts(batch.column(1)):
+            for group in texts(batch.column(column)):
                 scores = shared.value.vote(shared.value.place(group))
+                part = batch.slice(group.first, len(group))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(group.first, len(group)), pa.array(np.clip(scores, 0.0, 1.0))],
-                    names=[key, "score"],
+                    [*part.columns, pa.array(np.clip(scores, 0.0, 1.0))], names=schema.names
                 )
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, score double")
+    return kept.mapInArrow(run, schema)
 
 
 def with_labels(docs: DataFrame, labels: DataFrame, label: str, text: str = "text") -> DataFrame:

@@ -52,7 +52,7 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = held_out(F.col("doc_id"), 3, 1)
     known = quality_knn.with_labels(docs.filter(~out), table(spark, sf_dir, "labels"), "quality")
-    scored = quality_knn.score(docs, quality_knn.fit(known, "quality"))
+    scored = quality_knn.with_score(docs, quality_knn.fit(known, "quality"))
     return scored.select(
         "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
