@@ -77,6 +77,8 @@ def contained_items(
     whole, so short items match only texts that equal them. All words of all
     texts are looked at; two empty tables give an empty result.
     """
+    name, docs = key, docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    key, text = "_key", "_text"
     sketches = pin(item_sketches(items, k, contained), "items")
     sized = sketches.withColumn("n_sketch", F.size("sketch"))
     probes = _one_per_row(sized, "item_id", "n_item", "n_sketch", of="sketch")
@@ -96,7 +98,7 @@ def contained_items(
     counted = shared.groupBy(key, "item_id", "n_item").agg(F.count("*").alias("n_shared"))
     share = F.col("n_shared") / F.col("n_item")
     return counted.filter(F.col("n_shared") >= contained * F.col("n_item") - 1e-9).select(
-        key, "item_id", "n_shared", "n_item", share.alias("containment")
+        F.col(key).alias(name), "item_id", "n_shared", "n_item", share.alias("containment")
     )
 
 

@@ -238,7 +238,8 @@ def near_duplicates(
     64-bit hashes. An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    asked = docs.select(key, text)
+    name, docs = key, docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    key, text, asked = "_key", "_text", docs
     kind = docs.schema[key].dataType.simpleString()
     shards = max(8, SHARDS_PER_PARTITION * asked.rdd.getNumPartitions())
     survey = pin(
@@ -256,7 +257,7 @@ def near_duplicates(
     least = placed.groupBy("root").agg(F.min("rep").alias("least"))
     named = placed.join(least, "root").select(F.col("node").alias("_node"), F.col("least").alias("_least"))
     return seen.join(named, "_node", "left").select(
-        key, F.col("_n").alias("n_shingles"), F.coalesce("_least", key).alias("component_id")
+        F.col(key).alias(name), F.col("_n").alias("n_shingles"), F.coalesce("_least", key).alias("component_id")
     )
 
 

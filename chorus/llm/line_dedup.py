@@ -179,8 +179,8 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
-def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, _gone``: per document with any, the numbers (from 0) of the lines to remove.
+def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", gone_name: str = "gone") -> DataFrame:
+    """``key`` and ``gone_name``: per document with any, the numbers (from 0) of the lines to remove.
 
     Lines end at U+000A. Lines with A to Z lowered link when their sets of
     8-character runs (the whole line if shorter) reach a Jaccard similarity of
@@ -188,8 +188,8 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     Blank lines are no lines here. Rows sharing a key, null included, are one
     document whose lines at one number stand or fall by their own text.
     """
-    asked = docs.select(key, text)
-    kind = docs.schema[key].dataType.simpleString()
+    name, asked = key, docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    kind, key, text = docs.schema[key].dataType.simpleString(), "_key", "_text"
     shards = max(8, SHARDS_PER_PARTITION * asked.rdd.getNumPartitions())
     places = pin(asked.mapInArrow(_places(key), f"`{key}` {kind}, _line int, _node bigint"), "lines")
     where = F.struct(F.col(key).alias("k"), F.col("_line").alias("l"))
@@ -206,7 +206,7 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         both = with_b.join(sets.select(F.col("node").alias("a"), F.col("packed").alias("x")), "a")
         return both.select("a", "b", "x", "y").mapInArrow(_verified, "a bigint, b bigint")
 
-    joined = linked(docs.select(text).mapInArrow(_index(shards), BLOBS), verify, PERCENT)
+    joined = linked(asked.select(text).mapInArrow(_index(shards), BLOBS), verify, PERCENT)
     rooted = nodes.join(joined, "node", "left").select("node", "first", "times", F.coalesce("root", "node").alias("root"))
     rooted = pin(rooted, "rooted")
     sizes = rooted.groupBy("root").agg(F.min("first").alias("stays"), F.sum("times").alias("all"))
@@ -215,20 +215,20 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
     met = lookup(places, pin(repeated, "repeated"), ["_node"], load="_times")
     gone = met.filter(~where.eqNullSafe(F.col("stays")))
-    return gone.groupBy(key).agg(F.array_sort(F.collect_set("_line")).alias("_gone"))
-
-
-def without_lines(docs: DataFrame, gone: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows with a column ``_gone`` and the remaining lines in ``text``."""
-    mark = fresh(docs.columns, "mark")[0]
-    marked = docs.withColumn(mark, F.struct(F.col(key)))
-    table = pin(gone.select(F.struct(F.col(key)).alias(mark), "_gone"), "gone")
-    found = lookup(marked, table, [mark], how="left").withColumn("_all", F.split(F.coalesce(text, F.lit("")), "\n", -1))
-    lines = F.col("_all")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    cleaned = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
-    return found.withColumn("_left", F.when(F.col("_gone").isNull(), F.col(text)).otherwise(cleaned)).select(
-        *[F.col(c) if c != text else F.col("_left").alias(text) for c in docs.columns], "_gone"
+    return gone.groupBy(F.col(key).alias(name)).agg(F.array_sort(F.collect_set("_line")).alias(gone_name))
+
+
+def without_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", gone: str = "gone") -> DataFrame:
+    """The rows with a column ``gone``, the numbers of their removed lines if any, and the others in ``text``."""
+    mark, every, rest = fresh([*docs.columns, gone], "mark", "lines", "rest")
+    found = repeated_lines(docs, key, text, gone)
+    table = pin(found.select(F.struct(F.col(key)).alias(mark), gone), "gone")
+    joined = lookup(docs.withColumn(mark, F.struct(F.col(key))), table, [mark], how="left")
+    cut = joined.withColumn(every, F.split(F.coalesce(text, F.lit("")), "\n", -1))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col(gone))
+    cleaned = F.array_join(F.transform(kept, lambda i: F.get(every, i)), "\n")
+    return cut.withColumn(rest, F.when(F.col(gone).isNull(), F.col(text)).otherwise(cleaned)).select(
+        *[F.col(c) if c != text else F.col(rest).alias(text) for c in docs.columns], gone
     )
 
 
@@ -237,9 +237,9 @@ def line_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     asked = docs.select(key, text)
     n_lines = F.size(F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x: x.rlike(r"[^ \t\n\x0B\f\r]")))
     counted = asked.withColumn("n_lines", n_lines.cast("bigint"))
-    left = without_lines(counted, repeated_lines(docs, key, text), key, text)
+    left = without_lines(counted, key, text)
     return left.select(
-        key, "n_lines", F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_removed"),
+        key, "n_lines", F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"),
         F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256).alias("text_sha256"),
     )
 
@@ -250,10 +250,11 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     A column named ``size`` follows the new text. Rows that had no word, null
     texts included, stay as they are. An empty table stays empty.
     """
-    left = without_lines(docs, repeated_lines(docs, key, text), key, text)
+    gone = fresh(docs.columns, "gone")[0]
+    left = without_lines(docs, key, text, gone)
     worded = F.col(text).rlike(r"[^ \t\n\x0B\f\r]")
-    kept = left.filter(F.col("_gone").isNull() | worded)
+    kept = left.filter(F.col(gone).isNull() | worded)
     if size in docs.columns:
         new = F.length(text).cast(docs.schema[size].dataType)
-        kept = kept.withColumn(size, F.when(F.col("_gone").isNull(), F.col(size)).otherwise(new))
+        kept = kept.withColumn(size, F.when(F.col(gone).isNull(), F.col(size)).otherwise(new))
     return kept.select(*docs.columns)

@@ -194,14 +194,14 @@ def quality_rules(
     ``kept`` is false where the base check fails, otherwise whether the
     posterior reaches ``keep_at``. Repeated rows are judged alike; a text that
     no rule votes on gets the prior. Columns of ``docs`` named like a result
-    are replaced, and names with a leading underscore used here are reserved.
-    An empty table gives an empty result.
+    are replaced, all others but ``text`` are kept. An empty table gives an empty result.
     """
     used = rules()
     names = [r.name for r in used]
     results = [*BASE, "base_failed", "posterior", "kept"]
     carried = [c for c in docs.columns if c != text and c not in results]
-    measured = pin(measures(docs.select(*carried, F.col(text).alias("_text")), "_text").drop("_text"), "measures")
+    rows = docs.select(F.struct(F.lit(0).alias("_"), *carried).alias("_row"), F.col(text).alias("_text"))
+    measured = pin(measures(rows, "_text").drop("_text"), "measures")
     voted = measured.select("*", *[r.vote().alias(f"_vote_{r.name}") for r in used])
     model = fit_votes(voted, names)
     n, repeats = F.col("_n"), F.col("_n_repeat_words")
@@ -209,7 +209,7 @@ def quality_rules(
         "_failed", (n < min_words) | (100 * repeats > max_repeat_percent * n)
     )
     return judged.select(
-        *carried,
+        *[F.col("_row")[c].alias(c) for c in carried],
         n.alias("n_words"), F.col("_word_chars").alias("word_chars"), F.col("_n_symbols").alias("n_symbols"),
         F.col("_n_dup_lines").alias("n_dup_lines"), repeats.alias("n_repeat_words"),
         F.col("_failed").alias("base_failed"), F.col("_posterior").alias("posterior"),

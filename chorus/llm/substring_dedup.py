@@ -338,6 +338,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     fingerprints. The phrases around one trigger string meet in one task, in 30
     bytes each, after equal ones have been merged where they are read.
     """
+    name, docs = key, docs.select(F.col(key).alias("_key"), F.col(text).alias("_whole"))
+    key, text = "_key", "_whole"
     numbered, seq = _numbered(docs, key, text)
     length = F.octet_length(F.coalesce(F.col(text), F.lit("")))
     prints = pin(numbered.select(seq, F.xxhash64(text).alias("_p"), length.alias("_n")).filter(F.col("_n") >= LENGTH).distinct(), "prints")
@@ -369,4 +371,4 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     kind = docs.schema[key].dataType.simpleString()
     return found.select(key, text, "_copy", "_c0", "_c1").mapInArrow(
         _kept(key), f"`{key}` {kind}, kept binary, n_bytes bigint, n_removed bigint, n_spans bigint"
-    )
+    ).withColumnRenamed(key, name)
