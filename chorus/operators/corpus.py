@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from chorus.functions import text as tx
 from chorus.operators.scale import lookup, pin, rank_all, spread
-from chorus.schema import DOC, ENTITY, MIN_TOKENS, VOCABULARY_SIZE
+from chorus.schema import DOC, ENTITY, MIN_TOKENS
 
 
 def keep_longer(df: DataFrame, min_tokens: int = MIN_TOKENS, words: str = "words") -> DataFrame:
@@ -39,6 +39,23 @@ def preprocess(
     return keep_longer(reviews.select(*others, F.explode(F.array(words)).alias("words")), min_tokens)
 
 
+def left_out(
+    reviews: DataFrame, by: list[str] = ENTITY, text: str = "text", lang: str | None = None,
+    langs: list[str] | None = None, min_tokens: int = MIN_TOKENS,
+) -> DataFrame:
+    """Per entity, the documents :func:`preprocess` does not keep: those without text, and those too short."""
+    n = F.size(tx.content_words(F.col(text), None if lang is None else F.col(lang), langs))
+    missing = F.col(text).isNull()
+    return reviews.groupBy(*by).agg(
+        F.count_if(missing).alias("n_without_text"), F.count_if(~missing & (n <= min_tokens)).alias("n_short")
+    )
+
+
+def repeated_ids(df: DataFrame, by: list[str] = ENTITY, doc: str = DOC) -> DataFrame:
+    """Ids that more than one row carries, with their number of rows; counts and models need none."""
+    return df.groupBy(*by, doc).agg(F.count("*").alias("n_rows")).filter(F.col("n_rows") > 1)
+
+
 def doc_lengths(tokens: DataFrame, by: list[str] = ENTITY, doc: str = DOC) -> DataFrame:
     return tokens.select(*by, doc, F.size("words").cast("bigint").alias("n_tokens"))
 
@@ -73,17 +90,17 @@ def vocabulary(
     tokens: DataFrame,
     by: list[str] = ENTITY,
     doc: str = DOC,
-    size: int = VOCABULARY_SIZE,
+    size: int | None = None,
     min_df: int = 1,
 ) -> DataFrame:
-    """Terms by falling corpus count, ties by term; ``idx`` counts from 0 per entity."""
+    """Terms by falling corpus count, ties by term; ``idx`` counts from 0 per entity.
+
+    Every term is listed unless the caller asks for the first ``size`` only.
+    """
     stats = term_stats(tokens, by, doc).filter(F.col("doc_freq") >= min_df)
     ranked = rank_all(stats, by, [F.col("term_freq").desc(), F.col("term").asc()])
-    return (
-        ranked.filter(F.col("rank") <= size)
-        .withColumn("idx", F.col("rank") - 1)
-        .select(*by, "idx", "term", "term_freq", "doc_freq")
-    )
+    listed = ranked if size is None else ranked.filter(F.col("rank") <= size)
+    return listed.withColumn("idx", F.col("rank") - 1).select(*by, "idx", "term", "term_freq", "doc_freq")
 
 
 def doc_counts(tokens: DataFrame, by: list[str] = ENTITY) -> DataFrame:

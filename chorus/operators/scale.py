@@ -95,16 +95,21 @@ def lookup(
     partition's fair share, 1/``hot_keys`` of all load (default: the session's
     shuffle partitions), so there are fewer hot keys than that by arithmetic.
     Hot keys are broadcast and their rows never shuffled; all others are light
-    and take a shuffle join. Without a hot key it is a plain shuffle join.
+    and take a shuffle join. Without a hot key it is a plain shuffle join. A row
+    with a null key matches nothing, whatever the size; a left join keeps it.
     """
-    if how not in ("inner", "left"):
+    if how not in ("inner", "left", "known"):  # known: a left join of rows without a null key
         raise ValueError(f"unsupported join type {how!r}")
     limit = BROADCAST_BYTES if limit is None else limit
     if hot_keys is None:
         hot_keys = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if measure(table) <= limit:
+    if how != "known" and measure(table) <= limit:
         return rows.join(F.broadcast(table), keys, how)
-    counted = load is None or how == "left"
+    if how == "left":
+        unkeyed = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in keys])
+        keyed = lookup(rows.filter(~unkeyed), table, keys, None, "known", limit, hot_keys)
+        return keyed.unionByName(rows.filter(unkeyed), allowMissingColumns=True)
+    counted = load is None or how == "known"
     if counted:
         load = "_load"
         met = rows.groupBy(*keys).agg(F.count("*").alias(load))
@@ -148,8 +153,12 @@ def top_n(df: DataFrame, by: list[str], order: list[Column], n: int, rank: str =
 
     Each input task keeps at most ``n`` rows per group, a first round spreads a
     hot group over several tasks by input partition, and the final round sees
-    only those survivors.
+    only those survivors. Spark prunes in the input tasks up to a number it is
+    set to, so ``n`` beyond that raises the setting for the session.
     """
+    prunes = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(df.sparkSession.conf.get(prunes, "1000")) < n:
+        df.sparkSession.conf.set(prunes, str(n))
 
     def cut(frame: DataFrame, keys: list[str]) -> DataFrame:
         place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

@@ -2,7 +2,6 @@
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
 from uuid import uuid4
 
 from pyspark.ml.clustering import LDA, LDAModel
@@ -14,10 +13,12 @@ from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from chorus.operators.corpus import doc_counts, vocabulary
-from chorus.operators.scale import lookup, pin, spread, work_dir
-from chorus.schema import DOC, ENTITY, LDA_ITERATIONS, LDA_SEED, LDA_TOPICS, VOCABULARY_SIZE
+from chorus.operators.scale import lookup, match_null_safe, pin, work_dir
+from chorus.schema import DOC, ENTITY, LDA_ITERATIONS, LDA_SEED, LDA_TOPICS
 
-DOCS_PER_PARTITION = 2_500
+# The layout of documents, which the fit samples by, follows from their number alone.
+DOCS_PER_PARTITION = 1_000
+MOST_PARTITIONS = 2_000
 
 
 @dataclass(frozen=True)
@@ -25,7 +26,7 @@ class LdaSettings:
     n_topics: int = LDA_TOPICS
     max_iter: int = LDA_ITERATIONS
     seed: int = LDA_SEED
-    vocab_size: int = VOCABULARY_SIZE
+    vocab_size: int | None = None
     min_df: int = 1
 
 
@@ -50,18 +51,19 @@ def fit_lda(
     """Fit one entity's LDA; ``None`` when no document or no term is left.
 
     ``terms`` is the ranked vocabulary (idx, term): fixing it, and the placement
-    and order of documents, makes the fit repeatable. The vocabulary and the
-    topic matrix live on the driver; both are bounded by ``vocab_size``. Every
-    partition sends a topic matrix to each iteration's sum, so documents are
-    placed in as few partitions as their number (counted when not given) needs.
+    and order of documents, makes the fit repeatable on any cluster. The
+    vocabulary and the topic matrix live on the driver, as Spark's LDA keeps
+    them; a caller with more terms than a driver holds sets ``vocab_size``, and
+    what that leaves out is reported with the fit. Every partition sends a topic
+    matrix to each iteration's sum, so there are few partitions.
     """
     n_docs = tokens.count() if n_docs is None else n_docs
     listed = [r.term for r in terms.orderBy("idx").select("term").collect()]
     if not listed:
         return None
     counter = CountVectorizerModel.from_vocabulary(listed, inputCol="words", outputCol="tf")
-    parts = -(-n_docs // DOCS_PER_PARTITION)
-    laid = spread(tokens.select(doc, "words"), doc, parts).sortWithinPartitions(doc)
+    parts = max(1, min(-(-n_docs // DOCS_PER_PARTITION), MOST_PARTITIONS))
+    laid = tokens.select(doc, "words").repartition(parts, doc).sortWithinPartitions(doc)
     counts = counter.transform(laid).select("tf")
     weights = IDF(inputCol="tf", outputCol="tf_idf").fit(counts)
     if not weights.numDocs:
@@ -127,33 +129,51 @@ def lda_per_entity(
 ) -> TopicTables | None:
     """One model per entity over shared, already tokenised input.
 
-    Tokens and vocabularies of all entities are computed once and written in one
-    directory per entity, so a fit reads its own rows only. The fits, themselves
-    distributed jobs, run a few at a time; each writes its rows under one common
-    table per kind. The driver holds the entity list and one vocabulary and topic
-    matrix per running fit. ``None`` when no entity has anything to fit.
+    Entities are numbered, null and empty keys like any other, and tokens and
+    vocabularies are computed once and written in one directory per number, so a
+    fit reads its own rows only. The fits, themselves distributed jobs, run a few
+    at a time; each writes its rows under one common table per kind. The driver
+    holds the entity list and one vocabulary and topic matrix per running fit.
+    ``fits`` tells how many terms were seen and used, how many tokens the model
+    does not know, and how many documents hold no known term. ``None`` when no
+    entity has anything to fit.
     """
     spark = tokens.sparkSession
-    tokens = pin(tokens, "tokens", by)
-    terms = pin(vocabulary(tokens, by, doc, settings.vocab_size, settings.min_df), "vocabulary", by)
-    entities = [r.asDict() for r in doc_counts(tokens, by).orderBy(*by).collect()]
+    kinds = tokens.schema
+    listed = doc_counts(tokens, by).orderBy(*by).collect()
+    entities = [r.asDict() for r in listed]
+    shape = T.StructType([*[T.StructField(c, kinds[c].dataType) for c in by], T.StructField("_entity", T.IntegerType())])
+    numbers = pin(spark.createDataFrame([(*[r[c] for c in by], i) for i, r in enumerate(listed)], shape), "entities")
+    columns = tokens.columns
+    tokens = pin(match_null_safe(tokens, numbers, by, "inner"), "tokens", ["_entity"])
+    ranked = vocabulary(tokens, ["_entity"], doc, None, settings.min_df)
+    terms = pin(ranked, "vocabulary", ["_entity"])
     root = f"{work_dir(spark)}/fits-{uuid4().hex}"
 
-    def of(df: DataFrame, entity: dict) -> DataFrame:
-        return df.filter(reduce(lambda a, b: a & b, [F.col(c) == F.lit(entity[c]) for c in by]))
-
     def run(job: tuple[int, dict]) -> list[T.StructType] | None:
         number, entity = job
-        own = of(tokens, entity)
-        model = fit_lda(own, of(terms, entity), settings, doc, entity["n_docs"])
+        own = tokens.filter(F.col("_entity") == number).select(*columns)
+        seen = terms.filter(F.col("_entity") == number).drop("_entity")
+        used = seen if settings.vocab_size is None else seen.filter(F.col("idx") < settings.vocab_size)
+        model = fit_lda(own, used, settings, doc, entity["n_docs"])
         if model is None:
             return None
+        seen_terms, known_tokens = seen.agg(
+            F.count("*"), F.sum(F.when(F.col("idx") < model.lda.vocabSize(), F.col("term_freq")))
+        ).first()
+        n_tokens, n_unknown = own.agg(F.sum(F.size("words")), F.lit(0)).first()
+        if known_tokens < n_tokens:
+            has = F.size(F.array_remove(vector_to_array(F.col("tf")), 0.0)) > 0
+            n_unknown = model.counter.transform(own).filter(~has).count()
         keys = [F.lit(entity[c]).cast(tokens.schema[c].dataType).alias(c) for c in by]
         fit = spark.range(1).select(
             *keys,
             F.lit(settings.n_topics).alias("n_topics"),
             F.lit(model.lda.vocabSize()).cast("bigint").alias("n_terms"),
             F.lit(model.n_docs).cast("bigint").alias("n_docs"),
+            F.lit(seen_terms).cast("bigint").alias("n_terms_seen"),
+            F.lit(n_tokens - known_tokens).cast("bigint").alias("n_tokens_dropped"),
+            F.lit(n_unknown).cast("bigint").alias("n_docs_without_term"),
         )
         made = [topic_term(model).select(*keys, "*"), doc_topic(model, own), fit]
         for kind, rows in enumerate(made):

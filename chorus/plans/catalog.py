@@ -62,15 +62,23 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with the date, user and version of the event of the same id."""
-    happened = table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("review_id"), "ts", F.concat(F.lit("user"), "user_id").alias("user_name"),
-        F.col("event_type").alias("title"), F.get_json_object("props", "$.k").alias("app_version"),
+    """Documents with the number of their events and the date, user and version of the latest.
+
+    Every event belongs to the document at its number in turn.
+    """
+    end = docs(spark, sf_dir).agg(F.max("review_id") + 1).first()[0]
+    known = F.struct("ts", "event_id", "user_id", "event_type", "props")
+    latest = table(spark, sf_dir, "events").groupBy(F.pmod("event_id", F.lit(end)).alias("review_id")).agg(
+        F.max(known).alias("e"), F.count("*").alias("n_events")
+    )
+    happened = latest.select(
+        "review_id", "n_events", "e.ts", F.concat(F.lit("user"), "e.user_id").alias("user_name"),
+        F.col("e.event_type").alias("title"), F.get_json_object("e.props", "$.k").alias("app_version"),
     )
     rated = table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("review_id"), F.col("quality").alias("rating")
     )
-    return docs(spark, sf_dir).join(happened, "review_id").join(rated, "review_id", "left")
+    return docs(spark, sf_dir).join(happened, "review_id", "left").join(rated, "review_id", "left")
 
 
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,7 +164,7 @@ def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A result store with one row per app and language, derived from the documents."""
     named = F.col("lang").isin("en", "de")
     found = dated(spark, sf_dir).groupBy("app_id", "lang").agg(
-        F.count("*").alias("n"), F.max("ts").alias("latest")
+        F.sum("n_events").alias("n"), F.max("ts").alias("latest")
     )
     return found.select(
         F.when(named, "app_store").otherwise("google_play").alias("store"),
@@ -308,10 +316,10 @@ def date_cutoff(spark, sf_dir):
 
 
 def entity_validate(spark, sf_dir):
-    """Customers as entities; country codes of one to three letters."""
+    """Customers as entities; names of one to five letters, country codes of one to three."""
     rows = table(spark, sf_dir, "customer").select(
         "c_custkey", F.when(F.col("c_acctbal") < 0, "app_store").otherwise("google_play").alias("store"),
-        F.substring("c_name", 1, 2).alias("app_name"), F.col("c_name").alias("app_id"),
+        F.expr("substring(c_name, 1, CAST(1 + c_custkey % 5 AS INT))").alias("app_name"), F.col("c_name").alias("app_id"),
         F.expr("substring(c_mktsegment, 1, 1 + c_nationkey % 3)").alias("country"), F.lit("en").alias("lang"),
     )
     return hygiene.entity_validate(rows).select("c_custkey", "store", "country", "valid")
@@ -524,8 +532,9 @@ def tf_idf(spark, sf_dir):
 
 
 def doc_count_check(spark, sf_dir):
-    fits = tm.label_topics(tokens(spark, sf_dir), "lang", APP).fits
-    return corpus.doc_count_check(fits, tokens(spark, sf_dir), APP)
+    """Documents the models of the languages saw, against the token table."""
+    fits = lda_language_tables(spark, sf_dir).fits
+    return corpus.doc_count_check(fits, tokens(spark, sf_dir), ["lang"])
 
 
 def doc_length_stats(spark, sf_dir):
@@ -689,7 +698,7 @@ def stream_ingest(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     """Every page landed twice; each review comes out once."""
     pages = ingest.landed_pages(spark, _landed(spark, sf_dir, "dedup", 2), PAGE_FILE)
-    rows = ingest.stream_dedup(ingest.stream_reviews(pages), "60 days")
+    rows = ingest.stream_dedup(ingest.stream_reviews(pages))
     return _drained(spark, rows, "stream_dedup").select("app_id", "lang", "review_id")
 
 

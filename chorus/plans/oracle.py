@@ -102,16 +102,20 @@ def _linguistic() -> str:
         lambda c: rtrim(regexp_replace(c, '/(JJ|NN) ', ' ', 'g'))) AS phrases FROM lines)"""
 
 
+# every event belongs to the document at its number in turn; the latest one dates it
 DATED = """
-    dated AS (SELECT doc_id AS review_id, source AS app_id, documents.lang, text, ts,
+    happened AS (SELECT * FROM (SELECT *, event_id % n AS place, count(*) OVER (PARTITION BY event_id % n) AS n_events,
+                     row_number() OVER (PARTITION BY event_id % n ORDER BY ts DESC, event_id DESC) AS nth
+                 FROM events, (SELECT max(doc_id) + 1 AS n FROM documents)) WHERE nth = 1),
+    dated AS (SELECT doc_id AS review_id, source AS app_id, documents.lang, text, ts, n_events,
                      'user' || user_id AS user_name, event_type AS title,
                      json_extract_string(props, '$.k') AS app_version, quality AS rating
-              FROM documents JOIN events ON event_id = doc_id LEFT JOIN labels USING (doc_id))"""
+              FROM documents LEFT JOIN happened ON place = doc_id LEFT JOIN labels USING (doc_id))"""
 
 STORED = DATED + """,
     stored AS (SELECT CASE WHEN lang IN ('en', 'de') THEN 'app_store' ELSE 'google_play' END AS store,
                       CASE WHEN lang IN ('en', 'de') THEN 'App ' || app_id END AS app_name,
-                      app_id, lang AS country, lang, '{"n":' || count(*) || '}' AS lda_data,
+                      app_id, lang AS country, lang, '{"n":' || sum(n_events) || '}' AS lda_data,
                       max(ts) AS update_dt
                FROM dated GROUP BY app_id, lang)"""
 
@@ -202,10 +206,11 @@ def statements() -> dict[str, str]:
                         WHEN floor(value * 3) > 127 THEN 'score: does not fit' END AS reject_reason FROM events""",
         "date_cutoff": "SELECT event_id, user_id FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'",
         "entity_validate": """
-            SELECT c_custkey, store, country, CASE WHEN store = 'app_store' THEN false
-                   ELSE length(c_name) BETWEEN 3 AND 50 AND length(country) = 2 END AS valid
+            SELECT c_custkey, store, country, length(CASE store WHEN 'app_store' THEN app_name ELSE c_name END)
+                       BETWEEN 3 AND 50 AND length(country) = 2 AS valid
             FROM (SELECT *, CASE WHEN c_acctbal < 0 THEN 'app_store' ELSE 'google_play' END AS store,
-                         substr(c_mktsegment, 1, 1 + c_nationkey % 3) AS country FROM customer)""",
+                         substr(c_mktsegment, 1, 1 + c_nationkey % 3) AS country,
+                         substr(c_name, 1, 1 + c_custkey % 5) AS app_name FROM customer)""",
         "result_constraints": """
             WITH r AS (SELECT *, CASE WHEN event_type IN ('click', 'view') THEN 'app_store' ELSE 'google_play' END
                               AS store, user_id || '-' || event_id AS app_id FROM events),
@@ -293,7 +298,7 @@ def statements() -> dict[str, str]:
             WITH {tokens}, s AS (SELECT app_id, term, count(*) AS term_freq,
                                         count(DISTINCT review_id) AS doc_freq FROM terms GROUP BY ALL)
             SELECT app_id, idx, term, term_freq, doc_freq FROM (SELECT *, row_number() OVER (
-                PARTITION BY app_id ORDER BY term_freq DESC, term) - 1 AS idx FROM s) WHERE idx < 262144""",
+                PARTITION BY app_id ORDER BY term_freq DESC, term) - 1 AS idx FROM s)""",
         "term_frequency": f"WITH {tokens} SELECT * FROM tf",
         "document_frequency": f"WITH {tokens} SELECT * FROM dfreq",
         "idf": f"WITH {tokens} SELECT app_id, term, doc_freq, round(idf, 6) AS idf FROM idfs",
@@ -301,8 +306,9 @@ def statements() -> dict[str, str]:
             WITH {tokens} SELECT app_id, review_id, term, n, round(n * idf, 6) AS tf_idf
             FROM tf JOIN idfs USING (app_id, term)""",
         "doc_count_check": f"""
-            WITH {tokens} SELECT app_id, count(*) AS fit_docs, count(*) AS table_docs, true AS ok
-            FROM kept GROUP BY ALL""",
+            WITH {tokens}, fitted AS (SELECT lang, count(DISTINCT review_id) AS fit_docs FROM terms GROUP BY lang),
+            listed AS (SELECT lang, count(*) AS table_docs FROM kept GROUP BY lang)
+            SELECT lang, fit_docs, table_docs, fit_docs = table_docs AS ok FROM fitted JOIN listed USING (lang)""",
         "doc_length_stats": f"""
             WITH {tokens} SELECT app_id, count(*) AS n_docs, min(n_tokens) AS min_tokens,
                    sum(n_tokens)::BIGINT AS n_tokens, min(n_tokens) > 0 AS ok FROM kept GROUP BY ALL""",
@@ -360,10 +366,13 @@ def statements() -> dict[str, str]:
                   FROM phi) WHERE rank <= 10""",
         "lda_fit": f"""
             WITH {tokens} SELECT 'google_play' AS store, 5 AS n_topics,
-                   least(262144, count(DISTINCT term)) AS n_terms, count(DISTINCT review_id) AS n_docs FROM terms""",
+                   count(DISTINCT term) AS n_terms, count(DISTINCT review_id) AS n_docs,
+                   count(DISTINCT term) AS n_terms_seen, 0::BIGINT AS n_tokens_dropped,
+                   0::BIGINT AS n_docs_without_term FROM terms""",
         "lda_per_entity": f"""
-            WITH {tokens} SELECT lang, 5 AS n_topics, least(262144, count(DISTINCT term)) AS n_terms,
-                   count(DISTINCT review_id) AS n_docs FROM terms GROUP BY lang""",
+            WITH {tokens} SELECT lang, 5 AS n_topics, count(DISTINCT term) AS n_terms,
+                   count(DISTINCT review_id) AS n_docs, count(DISTINCT term) AS n_terms_seen,
+                   0::BIGINT AS n_tokens_dropped, 0::BIGINT AS n_docs_without_term FROM terms GROUP BY lang""",
         "lda_fit_validate": f"SELECT 'google_play' AS store, * FROM ({_ALL_CHECKS_HOLD})",
         "lda_validate": f"""
             SELECT * FROM (SELECT DISTINCT lang FROM documents), ({_ALL_CHECKS_HOLD})""",

@@ -6,7 +6,6 @@ from pyspark.sql import types as T
 MAX_REVIEWS_PER_ENTITY = 1000
 FEED_PAGE_SIZE = 20
 MIN_TOKENS = 3
-VOCABULARY_SIZE = 262_144
 LDA_SEED = 42
 LDA_TOPICS = 5
 LDA_ITERATIONS = 30

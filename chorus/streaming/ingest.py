@@ -3,6 +3,7 @@
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -12,16 +13,18 @@ from chorus.sources.feed import feed_reviews
 from chorus.sources.results import write_results
 
 MAX_FILES_PER_TRIGGER = 10_000
+LANDED = "landed_at"
 
 
 def landed_pages(spark: SparkSession, path: str, schema: StructType | str, only: str = "*") -> DataFrame:
-    """Page files as a stream; each file is read once, in bounded batches."""
-    return (
+    """Page files as a stream with ``landed_at``; each file is read once, in bounded batches."""
+    files = (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", only)
         .option("maxFilesPerTrigger", MAX_FILES_PER_TRIGGER)
         .parquet(path)
     )
+    return files.select("*", F.col("_metadata.file_modification_time").alias(LANDED))
 
 
 def stream_reviews(pages: DataFrame, raw: str = "raw", after: date | datetime | None = None) -> DataFrame:
@@ -30,9 +33,13 @@ def stream_reviews(pages: DataFrame, raw: str = "raw", after: date | datetime |
 
 
 def stream_dedup(
-    reviews: DataFrame, delay: str = "7 days", entity: list[str] = ENTITY, doc: str = DOC, ts: str = "ts"
+    reviews: DataFrame, delay: str = "7 days", entity: list[str] = ENTITY, doc: str = DOC, ts: str = LANDED
 ) -> DataFrame:
-    """Each review once within the watermark; state older than ``delay`` is let go."""
+    """Each review once; a copy that lands more than ``delay`` after the first may come out again.
+
+    Time is when a file landed, not the review's own date: an old review that
+    lands late, never seen before, is new.
+    """
     return reviews.withWatermark(ts, delay).dropDuplicatesWithinWatermark([*entity, doc])
 
 
