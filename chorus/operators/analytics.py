@@ -37,7 +37,7 @@ def topic_mass(doc_topic: DataFrame, by: list[str] = ENTITY) -> DataFrame:
     """
     mass = doc_topic.groupBy(*by, "topic").agg(F.sum(F.col("theta") * F.col("n_tokens")).alias("mass"))
     whole = F.sum("mass").over(Window.partitionBy(*by))
-    return mass.withColumn("total", whole).withColumn("proportion", F.col("mass") / F.col("total"))
+    return mass.withColumn("total", whole).withColumn("proportion", F.try_divide("mass", "total"))
 
 
 def topic_proportion(doc_topic: DataFrame, by: list[str] = ENTITY) -> DataFrame:
