@@ -18,8 +18,9 @@ from chorus.operators import analytics as an
 from chorus.operators import corpus, hygiene, linguistic, trends
 from chorus.operators import topic_model as tm
 from chorus.operators.scale import pin, work_dir
+from chorus.plans import extract, review_topics
 from chorus.plans.review_topics import topic_tables
-from chorus.schema import FEED_PAGE_SIZE, GOOGLE_PLAY_REVIEWS, MAX_REVIEWS_PER_ENTITY
+from chorus.schema import FEED_PAGE_SIZE, GOOGLE_PLAY_REVIEWS, MAX_REVIEWS_PER_ENTITY, STORE_RESULT_KEY
 from chorus.sources import feed, results
 from chorus.sources.reviews import read_reviews, write_reviews
 from chorus.streaming import ingest
@@ -28,6 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 APP = ["app_id"]
 LANGS = ["de", "en", "es", "fr"]
+EXTRACT_FROM = date(2024, 1, 10)
 
 _made: dict[tuple, object] = {}
 
@@ -220,6 +222,58 @@ def feed_reviews(spark, sf_dir):
     )
 
 
+def _extracted(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        "store", "app_id", "country", "lang", "review_id", "user_name", "text",
+        F.col("rating").cast("int").alias("rating"), _text("ts").alias("ts"),
+    )
+
+
+def extract_reviews_app_store(spark, sf_dir):
+    """All pages landed twice, one of them broken: the newest 30 reviews of every app from a date on, written and read."""
+    path = f"{work_dir(spark)}/extract-{uuid4().hex}"
+    pages = raw_pages(spark, sf_dir).drop("page_no")
+    broken = pages.filter(F.col("app_id") == "src1").withColumn("raw", F.lit("oops"))
+    made = extract.extract_app_store(pages.unionByName(pages).unionByName(broken), path, EXTRACT_FROM, cap=30)
+    return _extracted(read_reviews(spark, path, made.reviews.schema))
+
+
+def extract_reviews_google_play(spark, sf_dir):
+    """Events as landed rows of one app per user; some lack the text, some ratings do not fit."""
+    path = f"{work_dir(spark)}/extract-{uuid4().hex}"
+    rows = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("com.app"), F.col("user_id")).alias("app_id"), F.lit("us").alias("country"),
+        F.lit("en").alias("lang"), F.col("event_id").cast("string").alias("reviewId"),
+        F.lit("u").alias("userName"), F.nullif("event_type", F.lit("error")).alias("content"),
+        F.floor(F.col("value") * 3).cast("int").alias("score"),
+        F.get_json_object("props", "$.k").cast("int").alias("thumbsUpCount"),
+        F.lit(None).cast("string").alias("reviewCreatedVersion"), F.col("ts").cast("timestamp").alias("at"),
+        F.lit(None).cast("string").alias("appVersion"),
+    )
+    made = extract.extract_google_play(rows.unionByName(rows), path, EXTRACT_FROM, cap=20)
+    return _extracted(read_reviews(spark, path, made.reviews.schema))
+
+
+def review_topics_run(spark, sf_dir):
+    """Reviews extracted, modelled per language and stored: what the store then holds."""
+    path, root = (f"{work_dir(spark)}/{k}-{uuid4().hex}" for k in ("reviews", "topics"))
+    pages = raw_pages(spark, sf_dir).drop("page_no").withColumn("app_id", F.lit("all"))
+    extract.extract_app_store(pages, path, cap=10**9)
+    review_topics.run(spark, path, root, settings=tm.LdaSettings(n_topics=3, max_iter=3), langs=LANGS)
+    doc = F.from_json("lda_data", results.TOPIC_JSON)
+    return results.read_results(spark, root).select(
+        "store", "app_name", "app_id", "country", "lang", F.size(doc["mdsDat"]["topics"]).alias("n_topics")
+    )
+
+
+def topic_result_upsert_store_key(spark, sf_dir):
+    """Upsert on the key without language: a second language replaces the first."""
+    rows = stored(spark, sf_dir).withColumn("country", F.lit("zz"))
+    first, second = rows.filter("lang IN ('en', 'fr')"), rows.filter("lang IN ('de', 'es')")
+    key = STORE_RESULT_KEY
+    return _result_rows(results.topic_result_upsert(results.latest_updates(first, key), second, key))
+
+
 def write_reviews_then_read(spark, sf_dir):
     """All apps written, then one language replaced by its deduplicated rows; the others survive."""
     path = f"{work_dir(spark)}/reviews-{uuid4().hex}"
@@ -742,6 +796,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         page_flatten, props_flatten, next_offset, page_offsets, review_date_parse, feed_reviews,
+        extract_reviews_app_store, extract_reviews_google_play, review_topics_run, topic_result_upsert_store_key,
         write_reviews_then_read, read_reviews_typed, entity_key, topic_result_upsert, topic_result_versions,
         topic_result_json, topic_result_read, conform_schema, date_cutoff, entity_validate,
         result_constraints, text_column_pick, topic_lookup, app_listing_app_store,

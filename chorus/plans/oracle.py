@@ -168,6 +168,29 @@ def statements() -> dict[str, str]:
             SELECT 'app_store' AS store, app_id, lang AS country, lang, {_FEED_ID} AS review_id, user_name, title,
                    text, coalesce(rating, 5) AS rating, title = 'error' AS is_edited,
                    strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM dated""",
+        "extract_reviews_app_store": f"""
+            WITH {DATED}, found AS (SELECT DISTINCT app_id, lang, {_FEED_ID} AS review_id, user_name, text,
+                                    coalesce(rating, 5) AS rating, date_trunc('second', ts) AS ts
+                                    FROM dated WHERE ts >= TIMESTAMP '2024-01-10'),
+            ranked AS (SELECT *, row_number() OVER (PARTITION BY app_id, lang ORDER BY ts DESC, review_id) AS nth FROM found)
+            SELECT 'app_store' AS store, app_id, lang AS country, lang, review_id, user_name, text, rating,
+                   strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM ranked WHERE nth <= 30""",
+        "extract_reviews_google_play": """
+            WITH found AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id::VARCHAR) AS nth
+                           FROM events WHERE event_type <> 'error' AND floor(value * 3) <= 127
+                           AND json_extract(props, '$.k') IS NOT NULL AND ts >= TIMESTAMP '2024-01-10')
+            SELECT 'google_play' AS store, 'com.app' || user_id AS app_id, 'us' AS country, 'en' AS lang,
+                   event_id::VARCHAR AS review_id, 'u' AS user_name, event_type AS text,
+                   floor(value * 3)::INTEGER AS rating, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts
+            FROM found WHERE nth <= 20""",
+        "review_topics_run": f"""
+            WITH {tokens} SELECT 'app_store' AS store, 'App' AS app_name, 'all' AS app_id, lang AS country, lang,
+                   3 AS n_topics FROM kept GROUP BY lang""",
+        "topic_result_upsert_store_key": f"""
+            WITH {STORED}, ranked AS (SELECT *, row_number() OVER (PARTITION BY store, app_name, app_id
+                    ORDER BY lang IN ('de', 'es') DESC, update_dt DESC, lda_data DESC) AS nth FROM stored)
+            SELECT store, app_name, app_id, 'zz' AS country, lang, lda_data,
+                   strftime(update_dt, '%Y-%m-%d %H:%M:%S') AS update_dt FROM ranked WHERE nth = 1""",
         "write_reviews_then_read": """
             SELECT source AS app_id, lang, count(*) AS n, sum(length(text))::BIGINT AS chars
             FROM documents WHERE lang <> 'fr' GROUP BY ALL

@@ -9,10 +9,10 @@ from pyspark.ml.feature import StopWordsRemover
 
 import __spark_entry__ as contract
 from check import compare, database
-from chorus.plans import oracle
+from chorus.plans import catalog, oracle
 
-SQL = contract.oracle_sql()
-WITHOUT_SQL = sorted(set(contract.queries()) - set(SQL))
+SQL = oracle.statements()
+WITHOUT_SQL = sorted(set(catalog.QUERIES) - set(SQL))
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +34,8 @@ def test_only_models_and_documents_lack_sql():
     assert WITHOUT_SQL == sorted([
         "topic_term", "doc_topic", "top_terms_per_topic", "topic_coordinates", "topic_summary", "lda_relevance",
     ])
-    assert set(SQL) <= set(contract.queries())
+    assert set(SQL) <= set(catalog.QUERIES) <= set(contract.queries())
+    assert set(SQL) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("language", sorted(oracle.LANGS.values()))
