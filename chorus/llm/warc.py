@@ -134,7 +134,7 @@ class WarcWriter(DataSourceArrowWriter):
                     out = None
                 if out is None:
                     name, size = f"{uuid4().hex}.warc{'.gz' if self.packed else ''}", 0
-                    out = store.open_output_stream(f"{base}/{name}")
+                    out = store.open_output_stream(f"{base}/{name}", compression=None)
                 out.write(data)
                 size += len(data)
         if out is not None:
@@ -217,11 +217,11 @@ class _Unpacked(_Bytes):
 
     def _read(self) -> bytes:
         while True:
-            self.raw = self.raw or self.source.read(CHUNK)
-            if not self.raw:
-                return b""
             if self.press.eof:
                 self.press = zlib.decompressobj(31)
+            self.raw = self.raw or self.source.read(CHUNK)
+            if not self.raw:
+                return self.press.flush()
             out = self.press.decompress(self.raw, CHUNK)
             self.raw = self.press.unconsumed_tail or self.press.unused_data
             if out:
@@ -307,7 +307,7 @@ class WarcReader(DataSourceReader):
                 held = 0
             plan[-1].names.append(name)
             held += size
-        return plan
+        return plan or [Files([])]
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
         tests = [pushed_test(f) for f in self.wanted]
