@@ -696,6 +696,15 @@ def lda_validate(spark, sf_dir):
     return an.summary_validate(made.topic_term, made.doc_topic, ["lang"])
 
 
+def linguistic_lda(spark, sf_dir):
+    """The linguistic text path, lemmas and phrases, into a model per language."""
+    lemmas, tags = dictionaries(spark, sf_dir)
+    made = topic_tables(
+        docs(spark, sf_dir), ["lang"], tm.LdaSettings(n_topics=3, max_iter=3), mode="linguistic", lemmas=lemmas, tags=tags
+    )
+    return made.fits.select("lang", "n_topics", "n_terms", "n_docs")
+
+
 def top_terms_per_topic(spark, sf_dir):
     return an.top_terms_per_topic(lda_tables(spark, sf_dir).topic_term, ["store"])
 
@@ -807,7 +816,7 @@ QUERIES: dict[str, Query] = {
         term_frequency, document_frequency, idf, tf_idf, doc_count_check, doc_length_stats, label_topics,
         align_docs, topic_mass, topic_proportion, summary_validate, term_topic_freq, term_marginal, saliency,
         log_prob_lift, relevance, token_table, topic_pairs, topic_distance, label_top_terms, lda_fit, lda_fit_validate,
-        topic_term, doc_topic, lda_per_entity, lda_validate, top_terms_per_topic, topic_coordinates,
+        topic_term, doc_topic, lda_per_entity, lda_validate, linguistic_lda, top_terms_per_topic, topic_coordinates,
         topic_summary, lda_relevance, stream_ingest, stream_dedup, stream_upsert, topic_by_period,
         topic_by_month, topic_by_version, topic_by_rating,
     )

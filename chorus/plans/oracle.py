@@ -396,6 +396,10 @@ def statements() -> dict[str, str]:
             WITH {tokens} SELECT lang, 5 AS n_topics, count(DISTINCT term) AS n_terms,
                    count(DISTINCT review_id) AS n_docs, count(DISTINCT term) AS n_terms_seen,
                    0::BIGINT AS n_tokens_dropped, 0::BIGINT AS n_docs_without_term FROM terms GROUP BY lang""",
+        "linguistic_lda": f"""
+            WITH {words}, said AS (SELECT review_id, unnest(list_concat(lemmas, phrases)) AS word FROM chunks)
+            SELECT lang, 3 AS n_topics, count(DISTINCT word) AS n_terms, count(DISTINCT review_id) AS n_docs
+            FROM said JOIN documents ON doc_id = review_id GROUP BY lang""",
         "lda_fit_validate": f"SELECT 'google_play' AS store, * FROM ({_ALL_CHECKS_HOLD})",
         "lda_validate": f"""
             SELECT * FROM (SELECT DISTINCT lang FROM documents), ({_ALL_CHECKS_HOLD})""",
