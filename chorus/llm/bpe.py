@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chorus.llm.common import fresh
+from chorus.llm.common import fresh, small_batches
 from chorus.llm.vector_text import Texts, texts
 
 REMEMBERED = 1_500_000
@@ -248,7 +248,7 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids"
     so repeated rows and ties do not matter; an empty table stays empty.
     """
     shared = _shared(docs, tokenizer)
-    kept = docs.drop(ids, *([decoded] if decoded else []))
+    kept = small_batches(docs).drop(ids, *([decoded] if decoded else []))
     schema = T.StructType([*kept.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
     if decoded:
         schema = schema.add(decoded, T.StringType())

@@ -12,6 +12,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that hands workers at most 8 MB of rows at a time, whatever a row's size."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def words(text: Column) -> Column:
     """Runs of anything but space and U+0009 to U+000D; null text has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP, -1), "")

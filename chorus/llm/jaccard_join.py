@@ -7,7 +7,9 @@ sketch of document frequencies of fixed size. Every shingle belongs to a class:
 rare ones are indexed singly, frequent ones by pairs and very frequent ones by
 triples within small groups. A group of c prefix shingles indexed by k at a time
 stands for c - k + 1 single ones, so prefixes are extended until these sum up to
-e + 1: then two linked documents share an index entry for certain.
+e + 1: then two linked documents share an index entry for certain. The smaller of
+the two may miss only n - ceil(2 n t / (1 + t)), so its share of the entry lies in
+a shorter, inner prefix; entries that are inner for neither form no pair.
 
 Equal sets are one node from the start. Within an index entry only the
 documents' strongest common neighbour is verified at first; further pairs are
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chorus.llm.common import rows_of, rows_without
+from chorus.llm.common import rows_of, rows_without, small_batches
 from chorus.llm.linking import BLOBS, EntryBlobs, linked
 from chorus.llm.vector_text import mix, salted, shingle_sets, texts
 from chorus.operators.scale import pin
@@ -44,17 +46,51 @@ def _missing(n: np.ndarray, percent: int) -> np.ndarray:
     return n - (n * percent + 99) // 100
 
 
+def _missing_smaller(n: np.ndarray, percent: int) -> np.ndarray:
+    """The same for the smaller set of a pair, or either of two equally large."""
+    return n - (2 * percent * n + 99 + percent) // (100 + percent)
+
+
 def _nodes(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """A number for every set, equal for equal sets."""
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(salted(values, 7), dtype=np.uint64)])
     return mix(total[bounds[1:]] - total[bounds[:-1]] + np.diff(bounds).astype(np.uint64)).view(np.int64)
 
 
+def _bitmaps(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Per set a bitmap of two to four bits per shingle; halves laid over each other give the smaller size."""
+    n = np.diff(bounds)
+    size = np.maximum(64, 2 ** np.ceil(np.log2(np.maximum(2 * n, 1))).astype(np.int64))
+    ends = np.cumsum(size)
+    bits = np.zeros(ends[-1] if len(ends) else 0, bool)
+    bits[np.repeat(ends - size, n) + (values & np.repeat(size - 1, n).astype(np.uint64)).astype(np.int64)] = True
+    packed = np.packbits(bits, bitorder="little").tobytes()
+    return [packed[a // 8:b // 8] for a, b in zip((ends - size).tolist(), ends.tolist(), strict=True)]
+
+
+def _possible(percent: int):
+    """Pairs whose bitmaps do not rule out a link: a bit of one set alone stands for a shingle it has alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(*[c.to_pylist() for c in batch.columns[2:]], strict=True):
+                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+                size = min(len(x), len(y))
+                x, y = (np.bitwise_or.reduce(b.reshape(-1, size)) for b in (x, y))
+                alone_x, alone_y = (int(np.bitwise_count(p & ~q).sum()) for p, q in ((x, y), (y, x)))
+                both = min(n - alone_x, m - alone_y)
+                keep.append(100 * both >= percent * (n + m - both))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _survey(k: int, key: str):
-    """Rows (key, n, node) of every document, and per task what its distinct sets add to the sketch."""
+    """Rows (key, n, node, bitmap) of every document, and per task what its distinct sets add to the sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, kind = [key, "_n", "_node", "_block", "_counts"], None
+        names, kind = [key, "_n", "_node", "_bits", "_block", "_counts"], None
         slots, seen = np.zeros(SLOTS, np.uint32), set()
         for batch in batches:
             kind = batch.column(0).type
@@ -68,11 +104,12 @@ def _survey(k: int, key: str):
                 rows = len(group)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(group.first, rows), pa.array(n), pa.array(node, mask=n == 0),
-                    pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary()),
+                    pa.array(_bitmaps(values, bounds), pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary()),
                 ], names=names)
         if kind is not None:
             yield pa.RecordBatch.from_arrays([
                 pa.nulls(BLOCKS, kind), pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.int64()),
+                pa.nulls(BLOCKS, pa.binary()),
                 pa.array(range(BLOCKS), pa.int32()),
                 pa.array([x.tobytes() for x in slots.reshape(BLOCKS, -1)], pa.binary()),
             ], names=names)
@@ -106,8 +143,10 @@ def _combined(size: int, k: int) -> np.ndarray:
     return np.array(list(combinations(range(size), k)), int).reshape(-1, k)
 
 
-def _combination_entries(values: np.ndarray, level: np.ndarray, needed: int, space: int) -> np.ndarray:
-    """Index entries of the frequent shingles of one set, in one space of sizes."""
+def _combination_entries(
+    values: np.ndarray, level: np.ndarray, needed: int, inner: int, space: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Index entries of the frequent shingles of one set, in one space of sizes, and which are inner."""
     order = np.lexsort((values, level))
     values, level = values[order], level[order]
     groups = max(1, -(-needed // GROUP))
@@ -119,45 +158,55 @@ def _combination_entries(values: np.ndarray, level: np.ndarray, needed: int, spa
     nth[by_group] = np.arange(len(values)) - np.repeat(starts, np.diff(np.r_[starts, len(values)]))
     reached = np.cumsum(nth >= k - 1)
     stop = int(np.searchsorted(reached, needed)) + 1
+    inside = int(np.searchsorted(reached, inner)) + 1 if inner > 0 else 0
     values, group, k = values[:stop], group[:stop], k[:stop]
     spread = mix(values)
     by_group = np.argsort(group, kind="stable")
     starts = np.flatnonzero(np.r_[True, group[by_group][1:] != group[by_group][:-1]])
-    out = []
+    out, within = [], []
     for members in np.split(by_group, starts[1:]):
         size = int(k[members[0]])
         if len(members) >= size:
-            chosen = spread[members][_combined(len(members), size)]
-            out.append(chosen.sum(1, dtype=np.uint64) + np.uint64(size))
-    return salted(np.concatenate(out), space + 101) if out else np.zeros(0, np.uint64)
-
-
-def entries(values: np.ndarray, bounds: np.ndarray, levels: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index entries of all sets, and the number of the set each belongs to."""
+            chosen = members[_combined(len(members), size)]
+            out.append(spread[chosen].sum(1, dtype=np.uint64) + np.uint64(size))
+            within.append(chosen.max(1) < inside)
+    if not out:
+        return np.zeros(0, np.uint64), np.zeros(0, bool)
+    return salted(np.concatenate(out), space + 101), np.concatenate(within)
+
+
+def entries(
+    values: np.ndarray, bounds: np.ndarray, levels: np.ndarray, percent: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index entries of all sets, the number of the set each belongs to, and which are inner."""
     n = np.diff(bounds)
-    needed = _missing(n, percent) + 1
+    needed, inner = _missing(n, percent) + 1, _missing_smaller(n, percent) + 1
     owner = np.repeat(np.arange(len(n)), n)
     level = levels[((values >> np.uint64(40)) % np.uint64(SLOTS)).astype(np.int64)]
     rare = level == 0
     nth = np.cumsum(rare)
     first = np.concatenate([[0], nth])[bounds[:-1]]
     n_rare = np.concatenate([[0], nth])[bounds[1:]] - first
-    single = rare & (nth - np.repeat(first, n) <= np.repeat(needed, n))
-    out, of = [salted(values[single], 1)], [owner[single]]
+    nth = nth - np.repeat(first, n)
+    single = rare & (nth <= np.repeat(needed, n))
+    out, of, within = [salted(values[single], 1)], [owner[single]], [(nth <= np.repeat(inner, n))[single]]
     for i in np.flatnonzero((n_rare < needed) & (n > 0)).tolist():
         a, b = bounds[i], bounds[i + 1]
         often = ~rare[a:b]
         space = int(log(n[i]) / log(100 / percent)) if percent < 100 else int(n[i])
         for s in (space, space + 1):
-            got = _combination_entries(values[a:b][often], level[a:b][often], int(needed[i] - n_rare[i]), s)
+            wanted = (int(needed[i] - n_rare[i]), int(inner[i] - n_rare[i]))
+            got, close = _combination_entries(values[a:b][often], level[a:b][often], *wanted, s)
             out.append(got)
             of.append(np.full(len(got), i))
+            within.append(close)
     for i in np.flatnonzero((n > 0) & (n <= TINY)).tolist():
         a, b = bounds[i], bounds[i + 1]
         got = salted(values[a:b][np.lexsort((values[a:b], level[a:b]))][:needed[i]], 2)
         out.append(got)
         of.append(np.full(len(got), i))
-    return np.concatenate(out), np.concatenate(of)
+        within.append(np.arange(len(got)) < inner[i])
+    return np.concatenate(out), np.concatenate(of), np.concatenate(within)
 
 
 def _index(k: int, percent: int, levels, shards: int):
@@ -169,15 +218,15 @@ def _index(k: int, percent: int, levels, shards: int):
             for group in texts(batch.column(0)):
                 values, bounds = shingle_sets(group, k)
                 n, node = np.diff(bounds), _nodes(values, bounds)
-                new = np.zeros(len(n), bool)
+                new, met = np.zeros(len(n), bool), node
                 for i, x in enumerate(node.tolist()):
                     if n[i] and x not in seen:
                         seen.add(x)
                         new[i] = True
                 values = values[np.repeat(new, n)]
                 n, node = n[new], node[new]
-                entry, of = entries(values, np.concatenate([[0], np.cumsum(n)]), levels.value, percent)
-                if held.add(entry, node[of], n[of]):
+                entry, of, inner = entries(values, np.concatenate([[0], np.cumsum(n)]), levels.value, percent)
+                if held.add(entry, node[of], n[of], inner, met):
                     yield from held.out()
         yield from held.out()
 
@@ -212,13 +261,17 @@ def _verified(percent: int):
     return run
 
 
-def _verify(docs: DataFrame, reps: DataFrame, pairs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
-    """The pairs that reach the threshold by their whole sets."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    ids = pin(reps.join(wanted, "node").select("rep"), "wanted").withColumnRenamed("rep", key)
+def _verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
+    """The pairs that reach the threshold by their whole sets; sets move only where bitmaps leave it open."""
+    of = [nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab"]
+    marked = pairs.select("a", "b").join(of[0], "a").join(of[1], "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    close = pin(marked.mapInArrow(_possible(percent), "a bigint, b bigint"), "close")
+    wanted = pin(close.select(F.col("a").alias("node")).union(close.select("b")).distinct(), "wanted")
+    ids = pin(nodes.join(wanted, "node", "left_semi").select(F.col("rep").alias(key)).distinct(), "holders")
     sets = rows_of(docs.select(key, text), ids, key).select(text).mapInArrow(_packed_sets(k), "node bigint, packed binary")
-    sets = pin(sets.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
-    with_b = pairs.select("a", "b").join(sets.select(F.col("node").alias("b"), F.col("packed").alias("y")), "b")
+    # one exchange by node serves both joins
+    sets = sets.dropDuplicates(["node"])
+    with_b = close.join(sets.select(F.col("node").alias("b"), F.col("packed").alias("y")), "b")
     both = with_b.join(sets.select(F.col("node").alias("a"), F.col("packed").alias("x")), "a").select("a", "b", "x", "y")
     return both.mapInArrow(_verified(percent), "a bigint, b bigint")
 
@@ -239,20 +292,23 @@ def near_duplicates(
     """
     spark = docs.sparkSession
     name, docs = key, docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    docs = small_batches(docs)
     key, text, asked = "_key", "_text", docs
     kind = docs.schema[key].dataType.simpleString()
     shards = max(8, SHARDS_PER_PARTITION * asked.rdd.getNumPartitions())
     survey = pin(
-        asked.mapInArrow(_survey(k, key), f"`{key}` {kind}, _n bigint, _node bigint, _block int, _counts binary"), "survey"
+        asked.mapInArrow(_survey(k, key), f"`{key}` {kind}, _n bigint, _node bigint, _bits binary, _block int, _counts binary"), "survey"
     )
     levels = spark.sparkContext.broadcast(_levels(survey))
     seen = survey.filter(F.col("_block").isNull()).select(key, "_n", "_node")
-    reps = seen.filter(F.col("_node").isNotNull()).groupBy(F.col("_node").alias("node")).agg(F.min(key).alias("rep"))
-    reps = pin(reps, "nodes")
+    nodes = survey.filter(F.col("_node").isNotNull()).groupBy(F.col("_node").alias("node")).agg(
+        F.min(key).alias("rep"), F.first("_n").alias("n"), F.first("_bits").alias("bits")
+    )
+    nodes = pin(nodes, "nodes")
 
     blobs = docs.select(text).mapInArrow(_index(k, percent, levels, shards), BLOBS)
-    joined = linked(blobs, lambda pairs: _verify(docs, reps, pairs, key, text, k, percent), percent)
-    placed = reps.join(joined, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
+    joined = linked(blobs, lambda pairs: _verify(docs, nodes, pairs, key, text, k, percent), percent)
+    placed = nodes.join(joined, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     placed = pin(placed, "placed")
     least = placed.groupBy("root").agg(F.min("rep").alias("least"))
     named = placed.join(least, "root").select(F.col("node").alias("_node"), F.col("least").alias("_least"))

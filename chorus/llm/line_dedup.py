@@ -12,74 +12,52 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chorus.llm.common import fresh, rows_of
+from chorus.llm.common import fresh, rows_of, small_batches
 from chorus.llm.linking import BLOBS, EntryBlobs, linked
-from chorus.llm.vector_text import Texts, mix, salted, texts
+from chorus.llm.vector_text import IS_SPACE, Texts, salted, texts
 from chorus.operators.scale import lookup, pin
 
 SHINGLE_CHARS = 8
 PERCENT = 80
-#: 16 bands of 5: a pair at 0.8 is met with 1 - (1 - 0.8 ** 5) ** 16 = 99.8 %.
-BANDS, DEPTH = 16, 5
+#: 15 bands of 5: a pair at 0.8 is met with 1 - (1 - 0.8 ** 5) ** 15 = 99.7 %.
+BANDS, DEPTH = 15, 5
 SHARDS_PER_PARTITION = 8
 EMPTY = np.iinfo(np.uint64).max
 _BASE = 0xD6E8FEB86659FD93
-_INVERSE = pow(_BASE, -1, 2**64)
-
-
-def _powers(n: int, of: int) -> np.ndarray:
-    out = np.full(n, of, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
 
 
 class Lines:
-    """The lines of some texts as code points: line ``i`` is ``signs[starts[i]:ends[i]]``, A to Z lowered."""
+    """The lines of some texts: line ``i`` is ``data[starts[i]:ends[i]]``, hashed with A to Z lowered."""
 
     def __init__(self, group: Texts):
-        data = group.data.tobytes().decode("utf-8")
-        signs = np.frombuffer(data.encode("utf-32-le"), np.uint32)
-        # the first code point of every text: count the bytes that start one
-        before = np.concatenate([[0], np.cumsum((group.data & 0xC0) != 0x80)])
-        offsets = before[group.offsets]
-        first = np.unique(np.concatenate([offsets[:-1], np.flatnonzero(signs == 10) + 1]))
+        self.group, data, offsets = group, group.data, group.offsets
+        first = np.unique(np.concatenate([offsets[:-1], np.flatnonzero(data == 10) + 1]))
         # a text may end in a break, and empty texts share their place with the next one
         owner = np.searchsorted(offsets, first, "right") - 1
-        inside = first < len(signs)
+        inside = first < len(data)
         self.starts, self.owner = first[inside], owner[inside]
-        ends = np.append(self.starts[1:], len(signs))
-        last = np.maximum(ends - 1, 0)
-        self.ends = np.where((ends > self.starts) & (signs[last] == 10), last, ends) if len(ends) else ends
+        ends = np.append(self.starts[1:], len(data))[:len(self.starts)]
+        self.ends = ends - (data[np.maximum(ends - 1, 0)] == 10) if len(ends) else ends
         self.number = np.arange(len(self.starts)) - np.searchsorted(self.owner, self.owner)
-        upper = (signs >= 65) & (signs <= 90)
-        self.signs = np.where(upper, signs + np.uint32(32), signs)
-        plain = ~((signs == 32) | ((signs >= 9) & (signs <= 13)))
-        worded = np.concatenate([[0], np.cumsum(plain)])
+        worded = np.concatenate([[0], np.cumsum(~IS_SPACE[data])])
         self.worded = worded[self.ends] > worded[self.starts]
+        self.prefix = group.prefix_hashes(lower=True)
 
-    def hashed(self) -> np.ndarray:
-        """Prefix sums from which the hash of any run follows."""
-        values = mix(self.signs.astype(np.uint64) + np.uint64(0x51ED270B))
-        out = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * _powers(len(values), _BASE), out=out[1:])
-        return out
-
-    def shingles(self, prefix: np.ndarray, width: int = SHINGLE_CHARS) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of every run of ``width`` signs inside a worded line, or of the whole if it is shorter."""
+    def shingles(self, width: int = SHINGLE_CHARS) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of every run of ``width`` characters inside a worded line, or of the whole if it is shorter."""
+        # where characters begin: UTF-8 marks all other bytes
+        sign = np.append(np.flatnonzero((self.group.data & 0xC0) != 0x80), len(self.group.data))
         lines = np.flatnonzero(self.worded)
-        size = self.ends[lines] - self.starts[lines]
-        runs = np.maximum(size - width + 1, 1)
+        begin, end = (np.searchsorted(sign, x[lines]) for x in (self.starts, self.ends))
+        runs = np.maximum(end - begin - width + 1, 1)
         owner = np.repeat(np.arange(len(lines)), runs)
-        nth = np.arange(len(owner)) - np.repeat(np.cumsum(runs) - runs, runs)
-        at = np.repeat(self.starts[lines], runs) + nth
-        upto = np.minimum(at + width, np.repeat(self.ends[lines], runs))
-        inverse = _powers(len(prefix), _INVERSE)
-        return mix((prefix[upto] - prefix[at]) * inverse[at]), owner
+        at = np.repeat(begin - np.cumsum(runs) + runs, runs) + np.arange(len(owner))
+        upto = np.minimum(at + width, np.repeat(end, runs))
+        return self.group.hashes(sign[at], sign[upto], self.prefix), owner
 
-    def nodes(self, prefix: np.ndarray) -> np.ndarray:
+    def nodes(self) -> np.ndarray:
         """A number for every line, equal for equal lines."""
-        inverse = _powers(len(prefix), _INVERSE)
-        whole = (prefix[self.ends] - prefix[self.starts]) * inverse[np.minimum(self.starts, len(prefix) - 1)]
+        whole = self.group.hashes(self.starts, self.ends, self.prefix)
         return salted(whole + (self.ends - self.starts).astype(np.uint64), 3).view(np.int64)
 
 
@@ -89,7 +67,7 @@ def signatures(shingle: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     out = np.full((n, bins), EMPTY, np.uint64)
     flat = out.reshape(-1)
     where = owner * bins + ((shingle >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
-    np.minimum.at(flat, where, salted(shingle, 5))
+    np.minimum.at(flat, where, shingle)
     full = out != EMPTY
     rows, cols = np.nonzero(~full)
     turn = 0
@@ -115,17 +93,17 @@ def _index(shards: int):
         for batch in batches:
             for group in texts(batch.column(0)):
                 lines = Lines(group)
-                prefix = lines.hashed()
-                node = lines.nodes(prefix)
+                node = lines.nodes()
+                met = node[lines.worded]
                 for i in np.flatnonzero(lines.worded).tolist():
                     x = int(node[i])
                     lines.worded[i] = x not in seen
                     seen.add(x)
-                shingle, owner = lines.shingles(prefix)
+                shingle, owner = lines.shingles()
                 fresh_nodes = node[lines.worded]
                 entry = bands(signatures(shingle, owner, len(fresh_nodes)))
                 of = np.repeat(fresh_nodes, BANDS)
-                if held.add(entry.reshape(-1), of, np.ones(len(of))):
+                if held.add(entry.reshape(-1), of, np.ones(len(of), int), np.ones(len(of), bool), met):
                     yield from held.out()
         yield from held.out()
 
@@ -139,7 +117,7 @@ def _places(key: str):
         for batch in batches:
             for group in texts(batch.column(1)):
                 lines = Lines(group)
-                node = lines.nodes(lines.hashed())
+                node = lines.nodes()
                 w = lines.worded
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).take(pa.array(lines.owner[w] + group.first)),
@@ -150,30 +128,29 @@ def _places(key: str):
 
 
 def _written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (node, packed shingle set) of all lines with a word."""
+    """Rows (node, line) of all lines with a word."""
     for batch in batches:
         for group in texts(batch.column(0)):
             lines = Lines(group)
-            prefix = lines.hashed()
-            node = lines.nodes(prefix)[lines.worded]
-            packed = []
-            for a, b in zip(lines.starts[lines.worded].tolist(), lines.ends[lines.worded].tolist(), strict=True):
-                packed.append(lines.signs[a:b].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(packed, pa.binary())], names=["node", "packed"])
+            w, data = lines.worded, group.data.tobytes()
+            bounds = zip(lines.starts[w].tolist(), lines.ends[w].tolist(), strict=True)
+            written = pa.array([data[a:b] for a, b in bounds], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(lines.nodes()[w]), written], names=["node", "packed"])
 
 
-def _line_set(raw: bytes) -> set[bytes]:
-    step, n = 4, len(raw) // 4
-    if n <= SHINGLE_CHARS:
-        return {raw}
-    return {raw[i:i + step * SHINGLE_CHARS] for i in range(0, step * (n - SHINGLE_CHARS + 1), step)}
+def _line_set(raw: bytes) -> set[str]:
+    line = raw.lower().decode()  # bytes lower A to Z alone
+    return {line[i:i + SHINGLE_CHARS] for i in range(max(1, len(line) - SHINGLE_CHARS + 1))}
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keep = []
-        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            x, y = _line_set(x), _line_set(y)
+        keep, sets = [], {}
+        for a, b, *raw in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for node, line in zip((a, b), raw, strict=True):
+                if node not in sets:
+                    sets[node] = _line_set(line)
+            x, y = sets[a], sets[b]
             both = len(x & y)
             keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
@@ -188,7 +165,7 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", gon
     Blank lines are no lines here. Rows sharing a key, null included, are one
     document whose lines at one number stand or fall by their own text.
     """
-    name, asked = key, docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    name, asked = key, small_batches(docs).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     kind, key, text = docs.schema[key].dataType.simpleString(), "_key", "_text"
     shards = max(8, SHARDS_PER_PARTITION * asked.rdd.getNumPartitions())
     places = pin(asked.mapInArrow(_places(key), f"`{key}` {kind}, _line int, _node bigint"), "lines")

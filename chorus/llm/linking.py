@@ -1,9 +1,14 @@
 """From index entries to components, without ever forming all pairs of a group.
 
 Entries come as blobs, one row per task and shard, so that a shuffle moves few
-rows. In a first round every node is verified only against the node it shares
-most entries with; union-find joins what holds. A second round forms the pairs
-inside an entry that still lie in different components, and verifies them all.
+rows. The hub of an entry is its node with most copies: variants of one text are
+closer to it than to each other. In a first round every node is verified against
+the hub it shares most entries with, in a second against its other hubs unless
+union-find has joined them. Only then are pairs formed inside an entry, between
+nodes that still lie in different components, and all of them are verified.
+
+An entry may be inner for a node or not; a pair is formed only where it is inner
+for the smaller node, or for either of two equally large.
 """
 
 from collections.abc import Callable, Iterator
@@ -18,18 +23,19 @@ from chorus.llm.components import components
 from chorus.operators.scale import pin
 
 ROWS_AT_ONCE = 4_000_000
-BLOBS = "shard int, entry binary, node binary, n binary"
+BLOBS = "shard int, entry binary, node binary, n binary, weight binary"
 
 
 class EntryBlobs:
-    """Gathers (entry, node, size) in a task and gives them out as one row per shard."""
+    """Gathers (entry, node, size) in a task and gives them out, with each node's copies, as one row per shard."""
 
     def __init__(self, shards: int):
-        self.shards, self.held, self.rows = shards, [], 0
+        self.shards, self.held, self.met, self.rows = shards, [], [], 0
 
-    def add(self, entry: np.ndarray, node: np.ndarray, n: np.ndarray) -> bool:
-        """Whether so much is held that :meth:`out` should be called."""
-        self.held.append((entry, node, n.astype(np.int32)))
+    def add(self, entry: np.ndarray, node: np.ndarray, n: np.ndarray, inner: np.ndarray, met: np.ndarray) -> bool:
+        """``met`` names the node of every text, copies too. True if so much is held that :meth:`out` is due."""
+        self.held.append((entry, node, (2 * n + inner).astype(np.int32)))
+        self.met.append(met)
         self.rows += len(entry)
         return self.rows > ROWS_AT_ONCE
 
@@ -37,31 +43,39 @@ class EntryBlobs:
         if not self.rows:
             return
         columns = [np.concatenate(x) for x in zip(*self.held, strict=True)]
-        self.held, self.rows = [], 0
+        nodes, copies = np.unique(np.concatenate(self.met), return_counts=True)
+        columns.append(copies[np.searchsorted(nodes, columns[1])].astype(np.int32))
+        self.held, self.met, self.rows = [], [], 0
         shard = (columns[0] % np.uint64(self.shards)).astype(np.int32)
         order = np.argsort(shard, kind="stable")
         which, starts = np.unique(shard[order], return_index=True)
         bounds = [*starts.tolist(), len(order)]
         cells = [[c[order][a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)] for c in columns]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(which), *[pa.array(c, pa.binary()) for c in cells]], names=["shard", "entry", "node", "n"]
+            [pa.array(which), *[pa.array(c, pa.binary()) for c in cells]], names=["shard", "entry", "node", "n", "weight"]
         )
 
 
 def shared_entries(group: pd.DataFrame) -> pd.DataFrame:
-    """The part of a shard in which an entry has two nodes or more, sorted by entry, then node."""
-    entry, node, n = (
+    """The part of a shard in which an entry has two nodes or more, sorted by entry, the hub first."""
+    entry, node, n, weight = (
         np.concatenate([np.frombuffer(x, kind) for x in group[name]])
-        for name, kind in (("entry", np.uint64), ("node", np.int64), ("n", np.int32))
+        for name, kind in (("entry", np.uint64), ("node", np.int64), ("n", np.int32), ("weight", np.int32))
     )
     order = np.lexsort((node, entry))
     entry, node, n = entry[order], node[order], n[order]
     new = np.ones(len(entry), bool)
     new[1:] = (entry[1:] != entry[:-1]) | (node[1:] != node[:-1])
+    weight = np.add.reduceat(weight[order].astype(np.int64), np.flatnonzero(new)) if len(entry) else weight
     entry, node, n = entry[new], node[new], n[new]
+    order = np.lexsort((node, -weight, entry))
+    entry, node, n = entry[order], node[order], n[order]
     same = np.zeros(len(entry) + 1, bool)
     same[1:-1] = entry[1:] == entry[:-1]
     shared = same[1:] | same[:-1]
+    runs = np.cumsum(~same[:-1]) - 1 if len(entry) else np.zeros(0, int)
+    if len(entry):
+        shared &= np.bincount(runs, n % 2).astype(bool)[runs]
     columns = (entry[shared].view(np.int64), node[shared], n[shared])
     return pd.DataFrame({k: [c.tobytes()] for k, c in zip(("entry", "node", "n"), columns, strict=True)})
 
@@ -71,12 +85,15 @@ def _unblob(frame: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
         yield np.frombuffer(e, np.int64), np.frombuffer(v, np.int64), np.frombuffer(n, np.int32)
 
 
-def _size_fits(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
-    return 100 * np.minimum(x, y).astype(np.int64) >= percent * np.maximum(x, y).astype(np.int64)
+def _may_pair(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """By sizes and inner marks, packed as twice the size plus the mark."""
+    n, m = x.astype(np.int64) // 2, y.astype(np.int64) // 2
+    inner = np.where(n < m, x % 2, np.where(m < n, y % 2, x % 2 | y % 2)).astype(bool)
+    return inner & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
 
 
 def _stars(percent: int):
-    """Per shard: every node with the smallest node of an entry, and in how many entries."""
+    """Per shard: every node with the hubs of its entries, and in how many entries."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -85,7 +102,7 @@ def _stars(percent: int):
                     continue
                 starts = np.flatnonzero(np.r_[True, entry[1:] != entry[:-1]])
                 hub = np.repeat(starts, np.diff(np.r_[starts, len(entry)]))
-                pair = (np.arange(len(entry)) != hub) & _size_fits(n, n[hub], percent)
+                pair = (np.arange(len(entry)) != hub) & _may_pair(n, n[hub], percent)
                 a, b = node[hub][pair], node[pair]
                 order = np.lexsort((a, b))
                 a, b = a[order], b[order]
@@ -98,7 +115,7 @@ def _stars(percent: int):
 def _rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         for entry, node, n in _unblob(frame):
-            yield pd.DataFrame({"entry": entry, "node": node, "n": n.astype(np.int64)})
+            yield pd.DataFrame({"entry": entry, "node": node, "n": n.astype(np.int64) // 2, "inner": n % 2 == 1})
 
 
 def linked(blobs: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
@@ -109,23 +126,36 @@ def linked(blobs: DataFrame, verify: Callable[[DataFrame], DataFrame], percent:
     """
     shared = pin(blobs.groupBy("shard").applyInPandas(shared_entries, "entry binary, node binary, n binary"), "entries")
     stars = shared.mapInPandas(_stars(percent), "a bigint, b bigint, met bigint")
-    stars = stars.groupBy("b", "a").agg(F.sum("met").alias("met"))
+    stars = pin(stars.groupBy("b", "a").agg(F.sum("met").alias("met")), "stars")
     best = stars.groupBy("b").agg(F.max_by("a", F.struct("met", "a")).alias("a"))
     first = pin(best.select("a", "b"), "pairs")
     links = pin(verify(first), "links")
     joined = components(links)
+    second = pin(_apart(stars.select("a", "b"), joined).join(first, ["a", "b"], "left_anti"), "pairs")
+    links = pin(links.unionByName(verify(second)), "links")
+    joined = components(links)
 
-    rows = shared.mapInPandas(_rows, "entry bigint, node bigint, n bigint")
-    rows = rows.join(joined, "node", "left").select("entry", "node", "n", F.coalesce("root", "node").alias("root"))
+    rows = shared.mapInPandas(_rows, "entry bigint, node bigint, n bigint, inner boolean")
+    rows = rows.join(joined, "node", "left").select("entry", "node", "n", "inner", F.coalesce("root", "node").alias("root"))
     rows = pin(rows, "rows")
     spread = rows.groupBy("entry").agg(F.min("root").alias("least"), F.max("root").alias("most"))
     rest = rows.join(spread.filter("least < most").select("entry"), "entry", "left_semi")
-    other = rest.select("entry", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
+    other = rest.select("entry", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("inner").alias("inner_b"), F.col("root").alias("root_b"))
+    inner = F.when(F.col("n") < F.col("n_b"), F.col("inner")).when(F.col("n") > F.col("n_b"), F.col("inner_b")).otherwise(
+        F.col("inner") | F.col("inner_b")
+    )
     fits = 100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")
     crossing = (
-        rest.join(other, "entry").filter((F.col("node") < F.col("b")) & (F.col("root") != F.col("root_b")) & fits)
+        rest.join(other, "entry").filter((F.col("node") < F.col("b")) & (F.col("root") != F.col("root_b")) & fits & inner)
         .select(F.col("node").alias("a"), "b").distinct()
     )
-    known = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    known = first.unionByName(second).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     crossing = pin(crossing.join(known, ["a", "b"], "left_anti"), "pairs")
     return components(links.unionByName(pin(verify(crossing), "links")))
+
+
+def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """The pairs whose nodes lie in different components."""
+    of = [joined.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab"]
+    rooted = pairs.join(of[0], "a", "left").join(of[1], "b", "left")
+    return rooted.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")

@@ -23,6 +23,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chorus.llm.common import small_batches
 from chorus.llm.vector_text import mix, texts
 from chorus.operators.scale import pin, work_dir
 
@@ -207,7 +208,7 @@ def fit(docs: DataFrame, path: str, text: str = "text") -> Model:
     lowered; every text, null and empty ones too, ends in one end token. An
     empty table gives a model that has seen nothing.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs).sparkSession
     shards = max(8, SHARDS_PER_PARTITION * docs.rdd.getNumPartitions())
     blobs = docs.select(text).mapInArrow(_count_bigrams(shards), "shard int, c0 binary, c1 binary, c2 binary")
     facts = blobs.groupBy("shard").applyInPandas(

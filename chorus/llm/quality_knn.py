@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chorus.llm.common import small_batches
 from chorus.llm.vector_text import Texts, distinct, shingles, texts
 from chorus.operators.scale import lookup, pin
 
@@ -175,7 +176,7 @@ def with_score(docs: DataFrame, space: Space, text: str = "text", score: str = "
     row is scored for itself where it lies; a column of that name is replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(space)
-    kept = docs.drop(score)
+    kept = small_batches(docs).drop(score)
     schema = T.StructType([*kept.schema.fields, T.StructField(score, T.DoubleType())])
     column = kept.columns.index(text)
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chorus.llm.common import fresh
+from chorus.llm.common import fresh, small_batches
 from chorus.llm.vector_text import Texts, mix, texts
 from chorus.operators.scale import lookup, match_null_safe, pin, rank_all
 
@@ -338,7 +338,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     fingerprints. The phrases around one trigger string meet in one task, in 30
     bytes each, after equal ones have been merged where they are read.
     """
-    name, docs = key, docs.select(F.col(key).alias("_key"), F.col(text).alias("_whole"))
+    name, docs = key, small_batches(docs).select(F.col(key).alias("_key"), F.col(text).alias("_whole"))
     key, text = "_key", "_whole"
     numbered, seq = _numbered(docs, key, text)
     length = F.octet_length(F.coalesce(F.col(text), F.lit("")))

@@ -17,8 +17,8 @@ _BASE = int(_RANDOM.integers(2**62, 2**63)) * 2 + 1
 _INVERSE = pow(_BASE, -1, 2**64)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_IS_SPACE = np.zeros(256, bool)
-_IS_SPACE[[32, *range(9, 14)]] = True
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[[32, *range(9, 14)]] = True
 _powers = np.ones(1, np.uint64)
 _inverses = np.ones(1, np.uint64)
 
@@ -75,7 +75,7 @@ class Texts:
     def spans(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start and end of every word, and per text the number of words before it."""
         n = len(self.data)
-        inside = ~_IS_SPACE[self.data]
+        inside = ~IS_SPACE[self.data]
         edge = np.zeros(n + 1, bool)
         edge[self.offsets] = True
         before = np.zeros(n, bool)
