@@ -122,6 +122,25 @@ _LEAKS = r"""
     FROM items JOIN runs d ON d.kind = 'd' AND d.s = items.s
     GROUP BY d.id, items.id, n HAVING 100 * count(*) >= 80 * n"""
 
+_JOIN = r"""
+    WITH RECURSIVE low AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    runs AS (SELECT DISTINCT doc_id, unnest(CASE
+        WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END) AS s FROM low),
+    sizes AS (SELECT doc_id, count(*) AS n FROM runs GROUP BY doc_id),
+    met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+            FROM runs a JOIN runs b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+    links AS (SELECT a, b FROM met JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+              WHERE 100 * common >= 90 * (x.n + y.n - common)),
+    sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach AS (SELECT doc_id AS a, doc_id AS b FROM documents
+              UNION SELECT reach.a, sides.b FROM reach JOIN sides ON sides.a = reach.b)
+    SELECT documents.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least_id AS component_id
+    FROM documents LEFT JOIN sizes USING (doc_id)
+    JOIN (SELECT a AS doc_id, min(b) AS least_id FROM reach GROUP BY a) USING (doc_id)"""
+
 SQL: dict[str, str] = {
-    "op1_warc": _WARC, "op4_chat_formatting": _CHAT, "op7_decontamination": _LEAKS,
+    "op1_warc": _WARC, "op3_jaccard_join": _JOIN, "op4_chat_formatting": _CHAT, "op7_decontamination": _LEAKS,
 }
