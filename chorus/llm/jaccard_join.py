@@ -5,9 +5,11 @@ Two documents link when their shingle sets have a Jaccard similarity of at least
 of its shingles in the other. Shingles are ordered from rare to frequent, by a
 sketch of document frequencies of fixed size. Every shingle belongs to a class:
 rare ones are indexed singly, frequent ones by pairs and very frequent ones by
-triples within small groups. A group of c prefix shingles indexed by k at a time
-stands for c - k + 1 single ones, so prefixes are extended until these sum up to
-e + 1: then two linked documents share an index entry for certain. The smaller of
+triples within small groups, whose number follows from the class of sizes alone,
+so that two documents deal a shared shingle to the same group. A group of c prefix
+shingles indexed by k at a time stands for c - k + 1 single ones, so prefixes are
+extended until these sum up to e + 1: then two linked documents share an index
+entry for certain. The smaller of
 the two may miss only n - ceil(2 n t / (1 + t)), so its share of the entry lies in
 a shorter, inner prefix; entries that are inner for neither form no pair.
 
@@ -143,13 +145,22 @@ def _combined(size: int, k: int) -> np.ndarray:
     return np.array(list(combinations(range(size), k)), int).reshape(-1, k)
 
 
+@cache
+def _groups(space: int, percent: int) -> int:
+    """How many groups every set of a space of sizes has: by what its largest set needs, yet so few
+    that its smallest, less two per triple group and one per pair group, still has what it needs."""
+    if percent == 100:
+        return 1
+    least, most = (int((100 / percent) ** (space + i)) for i in (-1, 1))
+    return max(1, min(-(-(int(_missing(most, percent)) + 1) // GROUP), (-(-least * percent // 100) - 1) // 3))
+
+
 def _combination_entries(
-    values: np.ndarray, level: np.ndarray, needed: int, inner: int, space: int
+    values: np.ndarray, level: np.ndarray, needed: int, inner: int, space: int, groups: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """Index entries of the frequent shingles of one set, in one space of sizes, and which are inner."""
     order = np.lexsort((values, level))
     values, level = values[order], level[order]
-    groups = max(1, -(-needed // GROUP))
     k = np.where(level < VERY_FREQUENT, 2, 3)
     group = (values % np.uint64(groups)).astype(int) * 2 + (k - 2)
     by_group = np.argsort(group, kind="stable")
@@ -196,11 +207,12 @@ def entries(
         space = int(log(n[i]) / log(100 / percent)) if percent < 100 else int(n[i])
         for s in (space, space + 1):
             wanted = (int(needed[i] - n_rare[i]), int(inner[i] - n_rare[i]))
-            got, close = _combination_entries(values[a:b][often], level[a:b][often], *wanted, s)
+            got, close = _combination_entries(values[a:b][often], level[a:b][often], *wanted, s, _groups(s, percent))
             out.append(got)
             of.append(np.full(len(got), i))
             within.append(close)
-    for i in np.flatnonzero((n > 0) & (n <= TINY)).tolist():
+    # below a percentage of 50, sets of three shingles in common at least have larger partners
+    for i in np.flatnonzero((n > 0) & (n <= max(TINY, 30_000 // percent**2))).tolist():
         a, b = bounds[i], bounds[i + 1]
         got = salted(values[a:b][np.lexsort((values[a:b], level[a:b]))][:needed[i]], 2)
         out.append(got)

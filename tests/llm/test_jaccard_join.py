@@ -86,6 +86,29 @@ def test_linked_sets_share_an_entry():
             assert set(entry[of == 0].tolist()) & set(entry[smaller].tolist())
 
 
+def test_linked_sets_with_shingles_of_their_own_share_an_entry():
+    """Sets at the threshold that each lack and add some, so that sizes and numbers of rare shingles differ."""
+    rnd = np.random.default_rng(5)
+    tried = 0
+    for percent in (80, 90, 40):
+        for _ in range(1000):
+            levels = rnd.choice([0, 1, 3, 8, 9], jaccard_join.SLOTS, p=rnd.dirichlet(np.ones(5))).astype(np.uint8)
+            both = int(rnd.integers(1, 200))
+            own = int(both * (100 - percent) / percent)
+            left = int(rnd.integers(0, own + 1))
+            whole = rnd.integers(0, 2**63, both + own, dtype=np.uint64)
+            a, b = np.sort(whole[:both + left]), np.sort(np.r_[whole[:both], whole[both + left:]])
+            if len(b) > len(a):
+                a, b = b, a
+            assert 100 * both >= percent * len(whole)
+            bounds = np.array([0, len(a), len(a) + len(b)])
+            entry, of, inner = jaccard_join.entries(np.concatenate([a, b]), bounds, levels, percent)
+            smaller = (of == 1) & inner if len(b) < len(a) else (of == 1) & (inner | np.isin(entry, entry[(of == 0) & inner]))
+            assert set(entry[of == 0].tolist()) & set(entry[smaller].tolist()), (percent, len(a), len(b), both)
+            tried += 1
+    assert tried == 3000
+
+
 def test_query(spark, sf_dir):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     rows = queries.op3_jaccard_join(spark, sf_dir).select("doc_id", "n_shingles", "component_id").collect()
