@@ -32,6 +32,17 @@ def held_out(key: Column, modulus: int, remainder: int) -> Column:
     return key.isNotNull() & (F.pmod(code, F.lit(modulus)) == remainder)
 
 
+def repeats(docs: DataFrame, key: str) -> bool:
+    """Whether some key is null or names several rows, so that a key alone does not tell rows apart."""
+    total, known = docs.agg(F.count("*"), F.countDistinct(key)).first()
+    return total != known
+
+
+def with_text(key: str, text: str) -> Column:
+    """The key and a digest of the text: one value for rows that agree in both."""
+    return F.struct(F.col(key).alias("k"), F.xxhash64(text).alias("d"))
+
+
 def rows_of(docs: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     """Rows whose key, null included, is wanted; they move only if the keys are too many to broadcast."""
     mark = fresh(docs.columns, "mark")[0]

@@ -10,7 +10,7 @@ with at most m = n - ceil(t * n) missing shows one of its m + 1 smallest.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chorus.llm.common import rows_of, rows_without
+from chorus.llm.common import fresh, repeats, rows_of, rows_without, with_text
 from chorus.operators.scale import match_null_safe, pin, semi
 
 SHINGLE_WORDS = 5
@@ -103,6 +103,11 @@ def contained_items(
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that contain no item; repeated rows share their fate, columns stay."""
-    bad = pin(contained_items(docs, items, key, text).select(key).distinct(), "contaminated")
-    return rows_without(docs, bad, key)
+    """The rows of ``docs`` that contain no item; columns stay.
+
+    Rows that share a key but not their text are judged each for itself.
+    """
+    mark = fresh(docs.columns, "mark")[0]
+    marked = docs.withColumn(mark, with_text(key, text) if repeats(docs, key) else F.col(key))
+    bad = pin(contained_items(marked, items, mark, text).select(mark).distinct(), "contaminated")
+    return rows_without(marked, bad, mark).select(*docs.columns)

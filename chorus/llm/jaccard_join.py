@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chorus.llm.common import rows_of, rows_without, small_batches
+from chorus.llm.common import fresh, repeats, rows_of, rows_without, small_batches, with_text
 from chorus.llm.linking import BLOBS, EntryBlobs, linked
 from chorus.llm.vector_text import mix, salted, shingle_sets, texts
 from chorus.operators.scale import pin
@@ -330,6 +330,16 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows whose key names their component: one document of each, and those with null keys."""
-    found = near_duplicates(docs, k, percent, key, text).filter(F.col(key) != F.col("component_id"))
-    return rows_without(docs, pin(found.select(key).distinct(), "copies"), key)
+    """The rows whose key names their component: one document of each, and those with null keys.
+
+    Rows that share a key but not their text are judged each for itself.
+    """
+    if not repeats(docs, key):
+        found = near_duplicates(docs, k, percent, key, text).filter(F.col(key) != F.col("component_id"))
+        return rows_without(docs, pin(found.select(key).distinct(), "copies"), key)
+    mark = fresh(docs.columns, "mark")[0]
+    # null keys last, so that they name no component with others in it
+    marked = docs.withColumn(mark, F.struct(F.col(key).isNull().alias("none"), with_text(key, text).alias("row")))
+    found = near_duplicates(marked, k, percent, mark, text)
+    found = found.filter(F.col(mark)["row"]["k"] != F.col("component_id")["row"]["k"])
+    return rows_without(marked, pin(found.select(mark).distinct(), "copies"), mark).select(*docs.columns)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chorus.llm.common import fresh, rows_of, small_batches
+from chorus.llm.common import fresh, repeats, rows_of, small_batches, with_text
 from chorus.llm.linking import BLOBS, EntryBlobs, linked
 from chorus.llm.vector_text import IS_SPACE, Texts, salted, texts
 from chorus.operators.scale import lookup, pin
@@ -162,8 +162,8 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", gon
     Lines end at U+000A. Lines with A to Z lowered link when their sets of
     8-character runs (the whole line if shorter) reach a Jaccard similarity of
     0.8; of each component the line with the smallest key, then number, stays.
-    Blank lines are no lines here. Rows sharing a key, null included, are one
-    document whose lines at one number stand or fall by their own text.
+    Blank lines are no lines here. Line numbers are gathered by key, so a key,
+    null included, must name one text.
     """
     name, asked = key, small_batches(docs).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     kind, key, text = docs.schema[key].dataType.simpleString(), "_key", "_text"
@@ -196,11 +196,15 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", gon
 
 
 def without_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", gone: str = "gone") -> DataFrame:
-    """The rows with a column ``gone``, the numbers of their removed lines if any, and the others in ``text``."""
+    """The rows with a column ``gone``, the numbers of their removed lines if any, and the others in ``text``.
+
+    Rows that share a key, null included, are one document if they share their text, else several.
+    """
     mark, every, rest = fresh([*docs.columns, gone], "mark", "lines", "rest")
-    found = repeated_lines(docs, key, text, gone)
-    table = pin(found.select(F.struct(F.col(key)).alias(mark), gone), "gone")
-    joined = lookup(docs.withColumn(mark, F.struct(F.col(key))), table, [mark], how="left")
+    marked = docs.withColumn(mark, with_text(key, text) if repeats(docs, key) else F.col(key))
+    found = repeated_lines(marked, mark, text, gone)
+    table = pin(found.select(F.struct(F.col(mark)).alias(mark), gone), "gone")
+    joined = lookup(marked.withColumn(mark, F.struct(F.col(mark))), table, [mark], how="left")
     cut = joined.withColumn(every, F.split(F.coalesce(text, F.lit("")), "\n", -1))
     kept = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col(gone))
     cleaned = F.array_join(F.transform(kept, lambda i: F.get(every, i)), "\n")
