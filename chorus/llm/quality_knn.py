@@ -134,7 +134,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(labelled: DataFrame, label: str, text: str = "text", most: int = MAX_LABELLED) -> Space:
-    """The space of at most ``most`` labelled rows, chosen by a hash of the text alone.
+    """The space of at most ``most`` labelled rows, chosen by a hash of the text alone; no more reach the driver.
 
     Rows without a label (null or neither 0 nor 1) are left out. Equal texts
     count once, with their mean label. Without any row every score is 0.5.
@@ -150,13 +150,11 @@ def fit(labelled: DataFrame, label: str, text: str = "text", most: int = MAX_LAB
         return Space(np.ones(TERMS), 1.0, np.zeros((TERMS + MEASURES, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), 0.5)
     mean = known.agg(F.avg("label")).first()[0]
     bound = int(min(1.0, most / count) * 2**62)
-    chosen = hashed.filter(F.shiftrightunsigned("place", 2) <= F.lit(bound)).select("body", "label", "place")
-    got = chosen.mapInArrow(_features, "features binary, label double, place bigint").toArrow()
-    place = got["place"].to_numpy()
-    label_of = got["label"].to_numpy()
-    _, first, back = np.unique(place, return_index=True, return_inverse=True)
-    labels = np.bincount(back, label_of) / np.bincount(back)
-    first, labels = first[:most], labels[:most]
+    picked = known.filter(F.shiftrightunsigned("place", 2) <= F.lit(bound)).orderBy("place").limit(most)
+    bodies = hashed.select("body", "place").join(F.broadcast(picked), "place").dropDuplicates(["place"])
+    got = bodies.select("body", "label", "place").mapInArrow(_features, "features binary, label double, place bigint").toArrow()
+    first = np.argsort(got["place"].to_numpy())
+    labels = got["label"].to_numpy()[first]
     raw = np.frombuffer(b"".join(got["features"].take(pa.array(first)).to_pylist()), np.float32)
     raw = raw.reshape(len(first), TERMS + MEASURES).astype(float)
     counts, extra = raw[:, :TERMS], raw[:, TERMS:]

@@ -143,3 +143,18 @@ def test_every_neighbour_is_compared():
         near = np.argsort(-cosine)[:quality_knn.NEIGHBOURS]
         w = np.maximum(cosine[near], 0) ** quality_knn.SHARPNESS
         assert got == pytest.approx((w @ labels[near] + 5e-4) / (w.sum() + 1e-3), rel=1e-3)
+
+
+def test_copies_of_one_text_stay_with_the_workers(spark, monkeypatch):
+    kind, sent = type(spark.range(0)), []
+    whole = kind.toArrow
+
+    def counted(df):
+        sent.append(whole(df))
+        return sent[-1]
+
+    monkeypatch.setattr(kind, "toArrow", counted)
+    rows = [("the same text", i % 4 // 3) for i in range(400)] + [(f"text number {i}", 1) for i in range(9)]
+    space = quality_knn.fit(spark.createDataFrame(rows, "text string, quality int").repartition(3), "quality")
+    assert [t.num_rows for t in sent] == [10]
+    assert sorted(space.labels.tolist()) == [0.25] + [1.0] * 9
