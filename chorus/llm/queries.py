@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from chorus.llm import (
     bpe,
+    centroid_clustering,
     chat,
     decontaminate,
     jaccard_join,
@@ -82,8 +83,15 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clustering.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op2_line_dedup, op3_jaccard_join, op4_chat_formatting, op5_bpe, op6_quality_classifier, op7_decontamination, op8_suffix_array_dedup, op9_quality_rules, op10_lm_scoring)
+    f.__name__: f for f in (
+        op1_warc, op2_line_dedup, op3_jaccard_join, op4_chat_formatting, op5_bpe, op6_quality_classifier,
+        op7_decontamination, op8_suffix_array_dedup, op9_quality_rules, op10_lm_scoring, op13_centroid_clustering,
+    )
 }
 
 _CHAT = f"""
@@ -141,6 +149,33 @@ _JOIN = r"""
     FROM documents LEFT JOIN sizes USING (doc_id)
     JOIN (SELECT a AS doc_id, min(b) AS least_id FROM reach GROUP BY a) USING (doc_id)"""
 
+def _centroids(rounds: int = 10) -> str:
+    """Lloyd's rounds one after another, every vector against every centroid."""
+    nearest = """SELECT vec_id, row, v, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+            SELECT v.*, k.c, list_sum(list_transform(list_zip(v.v, k.m), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+            FROM vectors v, m{0} k) GROUP BY vec_id, row, v"""
+    step = """
+    a{0} AS MATERIALIZED (""" + nearest + """),
+    m{1} AS MATERIALIZED (
+        SELECT m{0}.c, coalesce(f.m, m{0}.m) AS m FROM m{0} LEFT JOIN (
+            SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS m FROM (
+                SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n
+                FROM (SELECT c, unnest(v) AS x, unnest(range(64)) AS i FROM a{0}) GROUP BY c, i) GROUP BY c) f USING (c)),"""
+    return """
+    WITH vectors AS MATERIALIZED (
+        SELECT vec_id, row_number() OVER () AS row,
+               list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+        WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+    m0 AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS c, v AS m
+        FROM vectors ORDER BY c LIMIT 8),""" + "".join(step.format(i, i + 1) for i in range(rounds)) + """
+    placed AS MATERIALIZED (""" + nearest.format(rounds) + f""")
+    SELECT vec_id, placed.c::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY placed.c)::BIGINT AS cluster_inertia,
+           sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+    FROM placed JOIN m{rounds} USING (c)"""
+
+
 SQL: dict[str, str] = {
     "op1_warc": _WARC, "op3_jaccard_join": _JOIN, "op4_chat_formatting": _CHAT, "op7_decontamination": _LEAKS,
+    "op13_centroid_clustering": _centroids(),
 }
