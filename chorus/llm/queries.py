@@ -16,6 +16,7 @@ from chorus.llm import (
     ngram_lm,
     quality_knn,
     quality_rules,
+    ranked_search,
     substring_dedup,
     warc,
 )
@@ -83,6 +84,11 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ranked_search.ranked(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clustering.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
@@ -90,7 +96,7 @@ def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_warc, op2_line_dedup, op3_jaccard_join, op4_chat_formatting, op5_bpe, op6_quality_classifier,
-        op7_decontamination, op8_suffix_array_dedup, op9_quality_rules, op10_lm_scoring, op13_centroid_clustering,
+        op7_decontamination, op8_suffix_array_dedup, op9_quality_rules, op10_lm_scoring, op12_ranked_search, op13_centroid_clustering,
     )
 }
 
@@ -149,6 +155,25 @@ _JOIN = r"""
     FROM documents LEFT JOIN sizes USING (doc_id)
     JOIN (SELECT a AS doc_id, min(b) AS least_id FROM reach GROUP BY a) USING (doc_id)"""
 
+_RANKED = r"""
+    WITH said AS (
+        SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+    terms AS (SELECT kind, id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM said),
+    counts AS (SELECT id, t, count(*) AS tf FROM terms WHERE kind = 'd' GROUP BY id, t),
+    lengths AS (SELECT id, sum(tf)::BIGINT AS len FROM counts GROUP BY id),
+    whole AS (SELECT count(*) AS docs, sum(len)::BIGINT AS all_terms FROM lengths),
+    weights AS (SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+                FROM counts, whole GROUP BY t, docs),
+    scores AS (
+        SELECT i.id AS item_id, c.id AS doc_id,
+               sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len * docs) // all_terms))))::BIGINT AS score
+        FROM (SELECT DISTINCT id, t FROM terms WHERE kind = 'i') i JOIN counts c USING (t) JOIN weights USING (t)
+        JOIN lengths l ON l.id = c.id, whole GROUP BY i.id, c.id)
+    SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+    FROM scores WHERE score > 0 QUALIFY rank <= 10"""
+
+
 def _centroids(rounds: int = 10) -> str:
     """Lloyd's rounds one after another, every vector against every centroid."""
     nearest = """SELECT vec_id, row, v, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
@@ -177,5 +202,5 @@ def _centroids(rounds: int = 10) -> str:
 
 SQL: dict[str, str] = {
     "op1_warc": _WARC, "op3_jaccard_join": _JOIN, "op4_chat_formatting": _CHAT, "op7_decontamination": _LEAKS,
-    "op13_centroid_clustering": _centroids(),
+    "op12_ranked_search": _RANKED, "op13_centroid_clustering": _centroids(),
 }

@@ -72,10 +72,10 @@ class Texts:
         _, inverses = _grown(len(self.data))
         return mix((prefix[ends] - prefix[starts]) * inverses[starts])
 
-    def spans(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start and end of every word, and per text the number of words before it."""
+    def spans(self, gaps: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start and end of every word, and per text the number of words before it; ``gaps`` marks bytes between words."""
         n = len(self.data)
-        inside = ~IS_SPACE[self.data]
+        inside = ~gaps[self.data]
         edge = np.zeros(n + 1, bool)
         edge[self.offsets] = True
         before = np.zeros(n, bool)
@@ -86,10 +86,10 @@ class Texts:
         ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
         return starts, ends, np.searchsorted(starts, self.offsets)
 
-    def words(self) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of every word with A to Z lowered, and per text the number of words before it."""
-        starts, ends, counts = self.spans()
-        return self.hashes(starts, ends, self.prefix_hashes(lower=True)), counts
+    def words(self, gaps: np.ndarray = IS_SPACE, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of every word, by default with A to Z lowered, and per text the number of words before it."""
+        starts, ends, counts = self.spans(gaps)
+        return self.hashes(starts, ends, self.prefix_hashes(lower=lower)), counts
 
 
 def texts(column: pa.Array, at_once: int = AT_ONCE) -> Iterator[Texts]:
