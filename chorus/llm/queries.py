@@ -18,6 +18,7 @@ from chorus.llm import (
     quality_rules,
     ranked_search,
     substring_dedup,
+    suffix_trees,
     warc,
 )
 from chorus.llm.common import held_out, table
@@ -84,6 +85,11 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = suffix_trees.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ranked_search.ranked(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
@@ -96,7 +102,7 @@ def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_warc, op2_line_dedup, op3_jaccard_join, op4_chat_formatting, op5_bpe, op6_quality_classifier,
-        op7_decontamination, op8_suffix_array_dedup, op9_quality_rules, op10_lm_scoring, op12_ranked_search, op13_centroid_clustering,
+        op7_decontamination, op8_suffix_array_dedup, op9_quality_rules, op10_lm_scoring, op11_substring_dedup, op12_ranked_search, op13_centroid_clustering,
     )
 }
 
@@ -155,6 +161,18 @@ _JOIN = r"""
     FROM documents LEFT JOIN sizes USING (doc_id)
     JOIN (SELECT a AS doc_id, min(b) AS least_id FROM reach GROUP BY a) USING (doc_id)"""
 
+_WINDOWS = r"""
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    starts AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS i, w FROM w WHERE len(w) >= 50),
+    windows AS (SELECT doc_id, i, sha256(array_to_string(w[i:i + 49], ' ')) AS s FROM starts),
+    again AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY s) AS least FROM windows) WHERE least < doc_id),
+    gone AS (SELECT DISTINCT doc_id, j FROM (SELECT doc_id, unnest(range(i, i + 50)) AS j FROM again)),
+    lists AS (SELECT doc_id, list(j) AS js FROM gone GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(js), 0)::BIGINT AS n_removed,
+           sha256(array_to_string(list_transform(list_filter(range(1, len(w) + 1), lambda j: NOT list_contains(coalesce(js, []), j)),
+                                                 lambda j: w[j]), ' ')) AS kept_sha256
+    FROM w LEFT JOIN lists USING (doc_id)"""
+
 _RANKED = r"""
     WITH said AS (
         SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
@@ -202,5 +220,5 @@ def _centroids(rounds: int = 10) -> str:
 
 SQL: dict[str, str] = {
     "op1_warc": _WARC, "op3_jaccard_join": _JOIN, "op4_chat_formatting": _CHAT, "op7_decontamination": _LEAKS,
-    "op12_ranked_search": _RANKED, "op13_centroid_clustering": _centroids(),
+    "op11_substring_dedup": _WINDOWS, "op12_ranked_search": _RANKED, "op13_centroid_clustering": _centroids(),
 }
