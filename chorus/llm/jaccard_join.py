@@ -13,9 +13,9 @@ entry for certain. The smaller of
 the two may miss only n - ceil(2 n t / (1 + t)), so its share of the entry lies in
 a shorter, inner prefix; entries that are inner for neither form no pair.
 
-Equal sets are one node from the start. Within an index entry only the
-documents' strongest common neighbour is verified at first; further pairs are
-formed only between nodes that union-find has not yet joined, so a group of
+Equal sets are one node from the start. Every node is verified against its
+strongest neighbour first; others are compared, inside tasks, only where
+union-find has not yet joined them (:mod:`chorus.llm.linking`), so a group of
 copies never turns into all of its pairs.
 """
 
@@ -37,7 +37,6 @@ from chorus.operators.scale import pin
 
 SLOTS = 1 << 18
 BLOCKS = 16
-SHARDS_PER_PARTITION = 4
 #: Sets up to this size are also indexed singly throughout, as their groups may be too small to combine.
 TINY = 12
 GROUP = 3
@@ -222,10 +221,10 @@ def entries(
 
 
 def _index(k: int, percent: int, levels, shards: int):
-    """Blobs of (entry, node, n), one per task and shard; a set met again in the task adds nothing."""
+    """Blobs of (entry, node, n), one per task and shard; a set met again in the task soon adds nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, seen = EntryBlobs(shards), set()
+        held, seen = EntryBlobs(shards), set()  # what has been given out is forgotten
         for batch in batches:
             for group in texts(batch.column(0)):
                 values, bounds = shingle_sets(group, k)
@@ -240,6 +239,7 @@ def _index(k: int, percent: int, levels, shards: int):
                 entry, of, inner = entries(values, np.concatenate([[0], np.cumsum(n)]), levels.value, percent)
                 if held.add(entry, node[of], n[of], inner, met):
                     yield from held.out()
+                    seen.clear()
         yield from held.out()
 
     return run
@@ -257,35 +257,23 @@ def _packed_sets(k: int):
     return run
 
 
-def _verified(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int((y[at] == x).sum())
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, np.uint64)
 
-    return run
 
-
-def _verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
-    """The pairs that reach the threshold by their whole sets; sets move only where bitmaps leave it open."""
+def _close(nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs that bitmaps leave open."""
     of = [nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab"]
     marked = pairs.select("a", "b").join(of[0], "a").join(of[1], "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
-    close = pin(marked.mapInArrow(_possible(percent), "a bigint, b bigint"), "close")
-    wanted = pin(close.select(F.col("a").alias("node")).union(close.select("b")).distinct(), "wanted")
-    ids = pin(nodes.join(wanted, "node", "left_semi").select(F.col("rep").alias(key)).distinct(), "holders")
+    return marked.mapInArrow(_possible(percent), "a bigint, b bigint")
+
+
+def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, key: str, text: str, k: int) -> DataFrame:
+    """The packed sets of the nodes wanted, each from one document at least that holds it."""
+    held = nodes.join(wanted, "node", "left_semi")
+    ids = pin(held.select(F.col("rep").alias(key)).distinct(), "holders")
     sets = rows_of(docs.select(key, text), ids, key).select(text).mapInArrow(_packed_sets(k), "node bigint, packed binary")
-    # one exchange by node serves both joins
-    sets = sets.dropDuplicates(["node"])
-    with_b = close.join(sets.select(F.col("node").alias("b"), F.col("packed").alias("y")), "b")
-    both = with_b.join(sets.select(F.col("node").alias("a"), F.col("packed").alias("x")), "a").select("a", "b", "x", "y")
-    return both.mapInArrow(_verified(percent), "a bigint, b bigint")
+    return sets.join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
 
 def near_duplicates(
@@ -307,7 +295,7 @@ def near_duplicates(
     docs = small_batches(docs)
     key, text, asked = "_key", "_text", docs
     kind = docs.schema[key].dataType.simpleString()
-    shards = max(8, SHARDS_PER_PARTITION * asked.rdd.getNumPartitions())
+    shards = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     survey = pin(
         asked.mapInArrow(_survey(k, key), f"`{key}` {kind}, _n bigint, _node bigint, _bits binary, _block int, _counts binary"), "survey"
     )
@@ -319,7 +307,10 @@ def near_duplicates(
     nodes = pin(nodes, "nodes")
 
     blobs = docs.select(text).mapInArrow(_index(k, percent, levels, shards), BLOBS)
-    joined = linked(blobs, lambda pairs: _verify(docs, nodes, pairs, key, text, k, percent), percent)
+    joined = linked(
+        blobs, lambda wanted: _sets(docs, nodes, wanted, key, text, k), _unpacked, percent,
+        lambda pairs: _close(nodes, pairs, percent),
+    )
     placed = nodes.join(joined, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     placed = pin(placed, "placed")
     least = placed.groupBy("root").agg(F.min("rep").alias("least"))

@@ -14,51 +14,90 @@ from pyspark.sql import functions as F
 
 from chorus.llm.common import fresh, repeats, rows_of, small_batches, with_text
 from chorus.llm.linking import BLOBS, EntryBlobs, linked
-from chorus.llm.vector_text import IS_SPACE, Texts, salted, texts
+from chorus.llm.vector_text import IS_SPACE, Texts, _grown, _ranges, mix, salted, texts
 from chorus.operators.scale import lookup, pin
 
 SHINGLE_CHARS = 8
 PERCENT = 80
 #: 15 bands of 5: a pair at 0.8 is met with 1 - (1 - 0.8 ** 5) ** 15 = 99.7 %.
 BANDS, DEPTH = 15, 5
-SHARDS_PER_PARTITION = 8
+#: Characters worked on at a time, few enough for their arrays to stay in a processor's cache.
+CHARS_AT_ONCE = 1 << 17
 EMPTY = np.iinfo(np.uint64).max
 _BASE = 0xD6E8FEB86659FD93
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def characters(raw: bytes) -> np.ndarray:
+    """The characters of UTF-8 text as numbers."""
+    return np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32)
+
+
+def _values(chars: np.ndarray) -> np.ndarray:
+    """A hash of every character, A to Z lowered."""
+    low = chars + np.uint32(32) * ((chars >= 65) & (chars <= 90))
+    x = (low.astype(np.uint64) + np.uint64(1)) * _SPREAD
+    return x ^ (x >> np.uint64(29))
+
+
+def runs(values: np.ndarray) -> np.ndarray:
+    """Hash of the ``SHINGLE_CHARS`` (a power of two) values from every place on, as far as there are so many."""
+    out, reach, base = values, 1, _BASE
+    while reach < SHINGLE_CHARS:
+        n = max(len(values) - 2 * reach + 1, 0)
+        out = out[:n] * np.uint64(base) + out[reach:reach + n]
+        reach, base = 2 * reach, base * base % 2**64
+    return mix(out)
+
+
+def whole(values: np.ndarray) -> np.ndarray:
+    """The only shingle of a line too short for one."""
+    out = np.zeros(1, np.uint64)
+    for x in values:
+        out = out * np.uint64(_BASE) + x
+    return salted(out, len(values))
 
 
 class Lines:
-    """The lines of some texts: line ``i`` is ``data[starts[i]:ends[i]]``, hashed with A to Z lowered."""
+    """The lines of some texts: line ``i`` is ``chars[starts[i]:ends[i]]``, hashed with A to Z lowered."""
 
     def __init__(self, group: Texts):
-        self.group, data, offsets = group, group.data, group.offsets
-        first = np.unique(np.concatenate([offsets[:-1], np.flatnonzero(data == 10) + 1]))
+        self.text = group.data.tobytes().decode()
+        chars = self.chars = np.frombuffer(self.text.encode("utf-32-le"), np.uint32)
+        offsets = group.offsets
+        if len(chars) != len(group.data):  # UTF-8 marks all but the first byte of a character
+            offsets = np.concatenate([[0], np.cumsum((group.data & 0xC0) != 0x80)])[offsets]
+        first = np.unique(np.concatenate([offsets[:-1], np.flatnonzero(chars == 10) + 1]))
         # a text may end in a break, and empty texts share their place with the next one
         owner = np.searchsorted(offsets, first, "right") - 1
-        inside = first < len(data)
+        inside = first < len(chars)
         self.starts, self.owner = first[inside], owner[inside]
-        ends = np.append(self.starts[1:], len(data))[:len(self.starts)]
-        self.ends = ends - (data[np.maximum(ends - 1, 0)] == 10) if len(ends) else ends
+        ends = np.append(self.starts[1:], len(chars))[:len(self.starts)]
+        self.ends = ends - (chars[np.maximum(ends - 1, 0)] == 10) if len(ends) else ends
         self.number = np.arange(len(self.starts)) - np.searchsorted(self.owner, self.owner)
-        worded = np.concatenate([[0], np.cumsum(~IS_SPACE[data])])
+        worded = np.concatenate([[0], np.cumsum(~IS_SPACE[np.minimum(chars, 255)])])
         self.worded = worded[self.ends] > worded[self.starts]
-        self.prefix = group.prefix_hashes(lower=True)
-
-    def shingles(self, width: int = SHINGLE_CHARS) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of every run of ``width`` characters inside a worded line, or of the whole if it is shorter."""
-        # where characters begin: UTF-8 marks all other bytes
-        sign = np.append(np.flatnonzero((self.group.data & 0xC0) != 0x80), len(self.group.data))
-        lines = np.flatnonzero(self.worded)
-        begin, end = (np.searchsorted(sign, x[lines]) for x in (self.starts, self.ends))
-        runs = np.maximum(end - begin - width + 1, 1)
-        owner = np.repeat(np.arange(len(lines)), runs)
-        at = np.repeat(begin - np.cumsum(runs) + runs, runs) + np.arange(len(owner))
-        upto = np.minimum(at + width, np.repeat(end, runs))
-        return self.group.hashes(sign[at], sign[upto], self.prefix), owner
+        self.values = _values(chars)
+
+    def shingles(self, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shingles of the lines of these numbers, and whose they are, counted from 0."""
+        begin, size = self.starts[lines], (self.ends - self.starts)[lines]
+        n = np.maximum(size - SHINGLE_CHARS + 1, 0)
+        out = runs(self.values)[np.repeat(begin, n) + _ranges(n)]
+        owner = np.repeat(np.arange(len(lines)), n)
+        short = np.flatnonzero(n == 0)
+        if len(short):
+            more = [whole(self.values[a:a + k]) for a, k in zip(begin[short].tolist(), size[short].tolist(), strict=True)]
+            out, owner = np.concatenate([out, *more]), np.concatenate([owner, short])
+        return out, owner
 
     def nodes(self) -> np.ndarray:
         """A number for every line, equal for equal lines."""
-        whole = self.group.hashes(self.starts, self.ends, self.prefix)
-        return salted(whole + (self.ends - self.starts).astype(np.uint64), 3).view(np.int64)
+        powers, inverses = _grown(len(self.values))
+        prefix = np.zeros(len(self.values) + 1, np.uint64)
+        np.cumsum(self.values * powers[:len(self.values)], out=prefix[1:])
+        content = mix((prefix[self.ends] - prefix[self.starts]) * inverses[self.starts])
+        return salted(content + (self.ends - self.starts).astype(np.uint64), 3).view(np.int64)
 
 
 def signatures(shingle: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
@@ -89,22 +128,25 @@ def bands(signature: np.ndarray) -> np.ndarray:
 
 def _index(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, seen = EntryBlobs(shards), set()
+        held, seen = EntryBlobs(shards), set()  # lines met again soon add nothing
         for batch in batches:
-            for group in texts(batch.column(0)):
+            for group in texts(batch.column(0), CHARS_AT_ONCE):
                 lines = Lines(group)
                 node = lines.nodes()
-                met = node[lines.worded]
+                new = []
                 for i in np.flatnonzero(lines.worded).tolist():
                     x = int(node[i])
-                    lines.worded[i] = x not in seen
-                    seen.add(x)
-                shingle, owner = lines.shingles()
-                fresh_nodes = node[lines.worded]
-                entry = bands(signatures(shingle, owner, len(fresh_nodes)))
-                of = np.repeat(fresh_nodes, BANDS)
-                if held.add(entry.reshape(-1), of, np.ones(len(of), int), np.ones(len(of), bool), met):
+                    if x not in seen:
+                        seen.add(x)
+                        new.append(i)
+                new = np.array(new, int)
+                shingle, owner = lines.shingles(new)
+                entry = bands(signatures(shingle, owner, len(new)))
+                of = np.repeat(node[new], BANDS)
+                ones = np.ones(len(of), int)
+                if held.add(entry.reshape(-1), of, ones, ones.astype(bool), node[lines.worded]):
                     yield from held.out()
+                    seen.clear()
         yield from held.out()
 
     return run
@@ -115,7 +157,7 @@ def _places(key: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for group in texts(batch.column(1)):
+            for group in texts(batch.column(1), CHARS_AT_ONCE):
                 lines = Lines(group)
                 node = lines.nodes()
                 w = lines.worded
@@ -128,32 +170,21 @@ def _places(key: str):
 
 
 def _written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (node, line) of all lines with a word."""
+    """Rows (node, line) of all lines with a word, equal ones of a few texts once."""
     for batch in batches:
-        for group in texts(batch.column(0)):
+        for group in texts(batch.column(0), CHARS_AT_ONCE):
             lines = Lines(group)
-            w, data = lines.worded, group.data.tobytes()
-            bounds = zip(lines.starts[w].tolist(), lines.ends[w].tolist(), strict=True)
-            written = pa.array([data[a:b] for a, b in bounds], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(lines.nodes()[w]), written], names=["node", "packed"])
-
+            w = np.flatnonzero(lines.worded)
+            node, first = np.unique(lines.nodes()[w], return_index=True)
+            bounds = zip(lines.starts[w[first]].tolist(), lines.ends[w[first]].tolist(), strict=True)
+            written = pa.array([lines.text[a:b].encode() for a, b in bounds], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(node), written], names=["node", "packed"])
 
-def _line_set(raw: bytes) -> set[str]:
-    line = raw.lower().decode()  # bytes lower A to Z alone
-    return {line[i:i + SHINGLE_CHARS] for i in range(max(1, len(line) - SHINGLE_CHARS + 1))}
 
-
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep, sets = [], {}
-        for a, b, *raw in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            for node, line in zip((a, b), raw, strict=True):
-                if node not in sets:
-                    sets[node] = _line_set(line)
-            x, y = sets[a], sets[b]
-            both = len(x & y)
-            keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-        yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+def line_set(raw: bytes) -> np.ndarray:
+    """The sorted, distinct shingles of one line."""
+    values = _values(characters(raw))
+    return np.unique(runs(values)) if len(values) >= SHINGLE_CHARS else whole(values)
 
 
 def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", gone_name: str = "gone") -> DataFrame:
@@ -167,23 +198,19 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", gon
     """
     name, asked = key, small_batches(docs).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     kind, key, text = docs.schema[key].dataType.simpleString(), "_key", "_text"
-    shards = max(8, SHARDS_PER_PARTITION * asked.rdd.getNumPartitions())
+    shards = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     places = pin(asked.mapInArrow(_places(key), f"`{key}` {kind}, _line int, _node bigint"), "lines")
     where = F.struct(F.col(key).alias("k"), F.col("_line").alias("l"))
     nodes = places.groupBy(F.col("_node").alias("node")).agg(F.min(where).alias("first"), F.count("*").alias("times"))
     nodes = pin(nodes, "nodes")
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        wanted = pin(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "wanted")
+    def fetch(wanted: DataFrame) -> DataFrame:
         holders = nodes.join(wanted, "node", "left_semi").select(F.col("first.k").alias(key)).distinct()
         held = rows_of(asked, pin(holders, "holders"), key).select(text)
-        sets = held.mapInArrow(_written, "node bigint, packed binary").join(wanted, "node", "left_semi")
-        sets = pin(sets.dropDuplicates(["node"]), "written")
-        with_b = pairs.select("a", "b").join(sets.select(F.col("node").alias("b"), F.col("packed").alias("y")), "b")
-        both = with_b.join(sets.select(F.col("node").alias("a"), F.col("packed").alias("x")), "a")
-        return both.select("a", "b", "x", "y").mapInArrow(_verified, "a bigint, b bigint")
+        found = held.mapInArrow(_written, "node bigint, packed binary").join(wanted, "node", "left_semi")
+        return found.dropDuplicates(["node"])
 
-    joined = linked(asked.select(text).mapInArrow(_index(shards), BLOBS), verify, PERCENT)
+    joined = linked(asked.select(text).mapInArrow(_index(shards), BLOBS), fetch, line_set, PERCENT)
     rooted = nodes.join(joined, "node", "left").select("node", "first", "times", F.coalesce("root", "node").alias("root"))
     rooted = pin(rooted, "rooted")
     sizes = rooted.groupBy("root").agg(F.min("first").alias("stays"), F.sum("times").alias("all"))

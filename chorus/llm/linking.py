@@ -2,13 +2,16 @@
 
 Entries come as blobs, one row per task and shard, so that a shuffle moves few
 rows. The hub of an entry is its node with most copies: variants of one text are
-closer to it than to each other. In a first round every node is verified against
-the hub it shares most entries with, in a second against its other hubs unless
-union-find has joined them. Only then are pairs formed inside an entry, between
-nodes that still lie in different components, and all of them are verified.
-
-An entry may be inner for a node or not; a pair is formed only where it is inner
-for the smaller node, or for either of two equally large.
+closer to it than to each other. At first every node is verified against the hub
+it shares most entries with. Two nodes of an entry share its hub, so what is left
+lies around hubs whose nodes are not all in one component yet. These nodes meet
+with their sets, in blocks, and are compared where they lie: sizes and parity
+sketches rule pairs out exactly, the rest is verified at once, and pairs that
+union-find has joined meanwhile are skipped. No row per pair is made; a task gives
+out fewer links than it has components.
+
+The parity sketch of a set has a bit per slot, set if an odd number of members
+fall into it. Two sketches differ in no more bits than the sets differ in members.
 """
 
 from collections.abc import Callable, Iterator
@@ -22,7 +25,10 @@ from pyspark.sql import functions as F
 from chorus.llm.components import components
 from chorus.operators.scale import pin
 
-ROWS_AT_ONCE = 4_000_000
+ROWS_AT_ONCE = 1_000_000
+#: Nodes that share a hub and meet in one task, and bytes of their packed sets.
+BLOCK_NODES, BLOCK_BYTES = 2_048, 4 << 20
+MOST_BITS = 8_192
 BLOBS = "shard int, entry binary, node binary, n binary, weight binary"
 
 
@@ -50,7 +56,8 @@ class EntryBlobs:
         order = np.argsort(shard, kind="stable")
         which, starts = np.unique(shard[order], return_index=True)
         bounds = [*starts.tolist(), len(order)]
-        cells = [[c[order][a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)] for c in columns]
+        columns = [c[order] for c in columns]
+        cells = [[c[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)] for c in columns]
         yield pa.RecordBatch.from_arrays(
             [pa.array(which), *[pa.array(c, pa.binary()) for c in cells]], names=["shard", "entry", "node", "n", "weight"]
         )
@@ -93,7 +100,7 @@ def _may_pair(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _stars(percent: int):
-    """Per shard: every node with the hubs of its entries, and in how many entries."""
+    """Per shard: every node with the hubs of its entries, and in how many entries the two may link."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -102,60 +109,146 @@ def _stars(percent: int):
                     continue
                 starts = np.flatnonzero(np.r_[True, entry[1:] != entry[:-1]])
                 hub = np.repeat(starts, np.diff(np.r_[starts, len(entry)]))
-                pair = (np.arange(len(entry)) != hub) & _may_pair(n, n[hub], percent)
-                a, b = node[hub][pair], node[pair]
+                a, b = node[hub], node
+                may = (a != b) & _may_pair(n, n[hub], percent)
                 order = np.lexsort((a, b))
-                a, b = a[order], b[order]
-                new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else np.zeros(0, int)
-                yield pd.DataFrame({"a": a[new], "b": b[new], "met": np.diff(np.r_[new, len(a)]).astype(np.int64)})
+                a, b, may = a[order], b[order], may[order]
+                new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+                yield pd.DataFrame({"a": a[new], "b": b[new], "met": np.add.reduceat(may.astype(np.int64), new)})
+
+    return run
+
+
+def common(x: np.ndarray, y: np.ndarray) -> int:
+    """Members that two sorted sets share."""
+    if len(x) > len(y):
+        x, y = y, x
+    if not len(x):
+        return 0
+    return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+
+
+def links(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = common(x, y)
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def parity(values: np.ndarray, bits: int) -> np.ndarray:
+    counts = np.bincount((values & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits(counts & 1, bitorder="little").view(np.uint64)
+
+
+def _against_hubs(unpack: Callable[[bytes], np.ndarray], percent: int):
+    """Rows come sorted by hub and part, the hub's own set (b is null) first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, hub = None, None
+        for batch in batches:
+            keep = []
+            for a, part, b, packed in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if b is None:
+                    at, hub = (a, part), unpack(packed)
+                keep.append(b is not None and at == (a, part) and links(hub, unpack(packed), percent))
+            yield batch.select([0, 2]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        for entry, node, n in _unblob(frame):
-            yield pd.DataFrame({"entry": entry, "node": node, "n": n.astype(np.int64) // 2, "inner": n % 2 == 1})
+def with_hubs(
+    pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], unpack: Callable[[bytes], np.ndarray], percent: int
+) -> DataFrame:
+    """The pairs (a, b) whose sets link. A hub ``a`` of many pairs is dealt in parts, its set sent once to each."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = pin(fetch(pin(nodes, "wanted")), "sets")
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("parts"))
+    parts = pin(parts, "hubs")
+    part = F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part")
+    own = parts.join(sets.withColumnRenamed("node", "a"), "a").select(
+        "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("bigint").alias("b"), "packed"
+    )
+    others = pairs.join(parts, "a").select("a", part, "b").join(sets.withColumnRenamed("node", "b"), "b")
+    laid = own.unionByName(others.select("a", "part", "b", "packed")).repartition("a", "part")
+    laid = laid.sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    return laid.mapInArrow(_against_hubs(unpack, percent), "a bigint, b bigint")
+
+
+def _within(unpack: Callable[[bytes], np.ndarray], percent: int):
+    """Links between different components among the nodes of one block, or of two."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        up: dict[int, int] = {r: r for r in frame["root"].tolist()}
+
+        def find(x: int) -> int:
+            while up[x] != x:
+                up[x] = up[up[x]]
+                x = up[x]
+            return x
+
+        sets = [unpack(x) for x in frame["packed"]]
+        order = np.argsort([len(x) for x in sets], kind="stable")
+        sets = [sets[i] for i in order.tolist()]
+        node, root, block = (frame[c].to_numpy()[order] for c in ("b", "root", "block"))
+        split = frame["low"].iloc[0] != frame["high"].iloc[0]
+        n = np.array([len(x) for x in sets])
+        bits = min(MOST_BITS, max(64, 1 << int(2 * np.median(n)).bit_length()))
+        sketch = np.stack([parity(x, bits) for x in sets])
+        found, apart = [], len(up)
+        for i in range(len(sets)):
+            if apart == 1:
+                break
+            last = int(np.searchsorted(n, n[i] * 100 // percent, "right"))
+            able = root[i + 1:last] != root[i]
+            if split:
+                able &= block[i + 1:last] != block[i]
+            near = i + 1 + np.flatnonzero(able)
+            if not len(near):
+                continue
+            differ = np.bitwise_count(sketch[near] ^ sketch[i]).sum(1, dtype=np.int64)
+            both = n[near] + n[i]
+            fits = differ <= both - 2 * -(-percent * both // (100 + percent))
+            near = near[fits][np.argsort(differ[fits], kind="stable")]
+            for j in near.tolist():
+                x, y = find(int(root[i])), find(int(root[j]))
+                if x != y and links(sets[i], sets[j], percent):
+                    up[x] = y
+                    apart -= 1
+                    found.append((int(node[i]), int(node[j])))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
+    return run
 
-def linked(blobs: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+
+def linked(
+    blobs: DataFrame, fetch: Callable[[DataFrame], DataFrame], unpack: Callable[[bytes], np.ndarray], percent: int,
+    narrow: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
+) -> DataFrame:
     """``node, root`` of all nodes that a verified pair names.
 
-    ``verify`` takes pairs (a, b) and returns those that link. Pairs whose sizes
-    rule out ``percent`` are not formed; pass equal sizes to form all.
+    ``fetch`` takes nodes and gives each one's packed set once, ``unpack`` makes it
+    a sorted array of distinct numbers; ``narrow`` may drop pairs that cannot link
+    before their sets move. Pairs whose sizes in the blobs rule out ``percent``
+    are not formed with a hub; pass equal sizes to form all.
     """
     shared = pin(blobs.groupBy("shard").applyInPandas(shared_entries, "entry binary, node binary, n binary"), "entries")
     stars = shared.mapInPandas(_stars(percent), "a bigint, b bigint, met bigint")
     stars = pin(stars.groupBy("b", "a").agg(F.sum("met").alias("met")), "stars")
-    best = stars.groupBy("b").agg(F.max_by("a", F.struct("met", "a")).alias("a"))
-    first = pin(best.select("a", "b"), "pairs")
-    links = pin(verify(first), "links")
-    joined = components(links)
-    second = pin(_apart(stars.select("a", "b"), joined).join(first, ["a", "b"], "left_anti"), "pairs")
-    links = pin(links.unionByName(verify(second)), "links")
-    joined = components(links)
-
-    rows = shared.mapInPandas(_rows, "entry bigint, node bigint, n bigint, inner boolean")
-    rows = rows.join(joined, "node", "left").select("entry", "node", "n", "inner", F.coalesce("root", "node").alias("root"))
-    rows = pin(rows, "rows")
-    spread = rows.groupBy("entry").agg(F.min("root").alias("least"), F.max("root").alias("most"))
-    rest = rows.join(spread.filter("least < most").select("entry"), "entry", "left_semi")
-    other = rest.select("entry", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("inner").alias("inner_b"), F.col("root").alias("root_b"))
-    inner = F.when(F.col("n") < F.col("n_b"), F.col("inner")).when(F.col("n") > F.col("n_b"), F.col("inner_b")).otherwise(
-        F.col("inner") | F.col("inner_b")
-    )
-    fits = 100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")
-    crossing = (
-        rest.join(other, "entry").filter((F.col("node") < F.col("b")) & (F.col("root") != F.col("root_b")) & fits & inner)
-        .select(F.col("node").alias("a"), "b").distinct()
+    best = stars.filter("met > 0").groupBy("b").agg(F.max_by("a", F.struct("met", "a")).alias("a"))
+    first = pin(narrow(pin(best.select("a", "b"), "pairs")), "close")
+    found = pin(with_hubs(first, fetch, unpack, percent), "links")
+
+    joined = components(found).select(F.col("node").alias("b"), "root")
+    rooted = stars.join(joined, "b", "left").select("a", "b", F.coalesce("root", "b").alias("root"))
+    rooted = pin(rooted, "rooted")
+    spread = rooted.groupBy("a").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most")
+    rest = pin(rooted.join(spread.select("a"), "a", "left_semi"), "rest")
+    sets = pin(fetch(pin(rest.select(F.col("b").alias("node")).distinct(), "wanted")), "sets").withColumnRenamed("node", "b")
+    held = rest.join(sets.select("b", F.octet_length("packed").alias("size")), "b")
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("size") / BLOCK_BYTES)).cast("int").alias("blocks")
+    blocks = pin(held.groupBy("a").agg(blocks), "blocks")
+    placed = rest.join(blocks, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
+    dealt = placed.select("a", "b", "root", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.join(sets, "b").select(
+        "a", "b", "root", "block", "packed", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
     )
-    known = first.unionByName(second).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    crossing = pin(crossing.join(known, ["a", "b"], "left_anti"), "pairs")
-    return components(links.unionByName(pin(verify(crossing), "links")))
-
-
-def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
-    """The pairs whose nodes lie in different components."""
-    of = [joined.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab"]
-    rooted = pairs.join(of[0], "a", "left").join(of[1], "b", "left")
-    return rooted.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    more = dealt.groupBy("a", "low", "high").applyInPandas(_within(unpack, percent), "a bigint, b bigint")
+    return components(found.unionByName(pin(more, "links")))

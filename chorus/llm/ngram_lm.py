@@ -4,8 +4,8 @@ Training counts are gathered in blobs of sorted hashes, one per task and shard,
 so the shuffle moves few rows whatever the number of n-grams. A shard holds all
 bigrams whose context falls into it; its file is a sorted array of bigram hashes
 beside their counts. A second shuffle joins, per word, what the word does as a
-context with how many contexts it continues. The number of shards follows the
-number of input partitions, so shards keep their size as the corpus grows.
+context with how many contexts it continues. There are as many shards as shuffle
+partitions, however finely the input is split.
 Files have fixed names and contents, so a repeated task rewrites the same bytes.
 """
 
@@ -29,8 +29,9 @@ from chorus.operators.scale import pin, work_dir
 
 START = np.uint64(0x5354415254)
 END = np.uint64(0x454E44)
-SHARDS_PER_PARTITION = 4
-TOKENS_AT_ONCE = 6_000_000
+#: Tokens sorted together, and counted bigrams a task holds before it gives them out.
+TOKENS_AT_ONCE = 500_000
+BIGRAMS_AT_ONCE = 1_500_000
 #: Per word: times seen as a token; times as a context of bigrams seen once, twice, more; contexts it continues.
 FACTS = ("count", "once", "twice", "more", "continues")
 FACT_BYTES = 8 + 8 * len(FACTS)
@@ -114,25 +115,48 @@ def _column(group: pd.DataFrame, name: str, kind) -> np.ndarray:
     return np.concatenate([np.frombuffer(b, kind) for b in group[name]])
 
 
+def _counted(context: np.ndarray, word: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal bigrams as one, sorted by their hash."""
+    pair = bigram_of(context, word)
+    order = np.argsort(pair)
+    pair = pair[order]
+    new = np.ones(len(pair), bool)
+    new[1:] = pair[1:] != pair[:-1]
+    at = np.flatnonzero(new)
+    first = order[at]
+    return context[first], word[first], np.add.reduceat(count[order], at, dtype=np.uint32)
+
+
 def _count_bigrams(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        fresh: list[tuple[np.ndarray, np.ndarray]] = []
+        tokens = bigrams = 0
+
+        def close() -> int:
+            context, word = (np.concatenate(x) for x in zip(*fresh, strict=True))
+            fresh.clear()
+            held.append(_counted(context, word, np.ones(len(word), np.uint32)))
+            return len(held[-1][0])
 
         def out() -> pa.RecordBatch:
-            context, word = (np.concatenate(x) for x in zip(*held, strict=True))
+            columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+            columns = _counted(*columns) if len(held) > 1 else columns
             held.clear()
-            (context, word), (count,) = _summed((context, word), [np.ones(len(word), np.uint32)])
-            return _blobs(context % np.uint64(shards), [context, word, count])
+            return _blobs(columns[0] % np.uint64(shards), list(columns))
 
-        tokens = 0
         for batch in batches:
             for group in texts(batch.column(0)):
                 context, word, _ = _tokens(group)
-                held.append((context, word))
+                fresh.append((context, word))
                 tokens += len(word)
                 if tokens >= TOKENS_AT_ONCE:
+                    bigrams, tokens = bigrams + close(), 0
+                if bigrams >= BIGRAMS_AT_ONCE:
                     yield out()
-                    tokens = 0
+                    bigrams = 0
+        if fresh:
+            close()
         if held:
             yield out()
 
@@ -209,7 +233,7 @@ def fit(docs: DataFrame, path: str, text: str = "text") -> Model:
     empty table gives a model that has seen nothing.
     """
     spark = small_batches(docs).sparkSession
-    shards = max(8, SHARDS_PER_PARTITION * docs.rdd.getNumPartitions())
+    shards = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     blobs = docs.select(text).mapInArrow(_count_bigrams(shards), "shard int, c0 binary, c1 binary, c2 binary")
     facts = blobs.groupBy("shard").applyInPandas(
         _close_bigrams(path, shards),
