@@ -58,37 +58,19 @@ def _nodes(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mix(total[bounds[1:]] - total[bounds[:-1]] + np.diff(bounds).astype(np.uint64)).view(np.int64)
 
 
-def _bitmaps(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
-    """Per set a bitmap of two to four bits per shingle; halves laid over each other give the smaller size."""
+def _sketches(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Per set a parity sketch of two to four slots per shingle."""
     n = np.diff(bounds)
     size = np.maximum(64, 2 ** np.ceil(np.log2(np.maximum(2 * n, 1))).astype(np.int64))
     ends = np.cumsum(size)
-    bits = np.zeros(ends[-1] if len(ends) else 0, bool)
-    bits[np.repeat(ends - size, n) + (values & np.repeat(size - 1, n).astype(np.uint64)).astype(np.int64)] = True
-    packed = np.packbits(bits, bitorder="little").tobytes()
+    slot = np.repeat(ends - size, n) + (values & np.repeat(size - 1, n).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(slot, minlength=ends[-1] if len(ends) else 0) & 1
+    packed = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
     return [packed[a // 8:b // 8] for a, b in zip((ends - size).tolist(), ends.tolist(), strict=True)]
 
 
-def _possible(percent: int):
-    """Pairs whose bitmaps do not rule out a link: a bit of one set alone stands for a shingle it has alone."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for n, m, x, y in zip(*[c.to_pylist() for c in batch.columns[2:]], strict=True):
-                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-                size = min(len(x), len(y))
-                x, y = (np.bitwise_or.reduce(b.reshape(-1, size)) for b in (x, y))
-                alone_x, alone_y = (int(np.bitwise_count(p & ~q).sum()) for p, q in ((x, y), (y, x)))
-                both = min(n - alone_x, m - alone_y)
-                keep.append(100 * both >= percent * (n + m - both))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    return run
-
-
 def _survey(k: int, key: str):
-    """Rows (key, n, node, bitmap) of every document, and per task what its distinct sets add to the sketch."""
+    """Rows (key, n, node, sketch) of every document, and per task what its distinct sets add to the sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, kind = [key, "_n", "_node", "_bits", "_block", "_counts"], None
@@ -105,7 +87,7 @@ def _survey(k: int, key: str):
                 rows = len(group)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(group.first, rows), pa.array(n), pa.array(node, mask=n == 0),
-                    pa.array(_bitmaps(values, bounds), pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary()),
+                    pa.array(_sketches(values, bounds), pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary()),
                 ], names=names)
         if kind is not None:
             yield pa.RecordBatch.from_arrays([
@@ -261,13 +243,6 @@ def _unpacked(packed: bytes) -> np.ndarray:
     return np.frombuffer(packed, np.uint64)
 
 
-def _close(nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs that bitmaps leave open."""
-    of = [nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab"]
-    marked = pairs.select("a", "b").join(of[0], "a").join(of[1], "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
-    return marked.mapInArrow(_possible(percent), "a bigint, b bigint")
-
-
 def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, key: str, text: str, k: int) -> DataFrame:
     """The packed sets of the nodes wanted, each from one document at least that holds it."""
     held = nodes.join(wanted, "node", "left_semi")
@@ -308,8 +283,7 @@ def near_duplicates(
 
     blobs = docs.select(text).mapInArrow(_index(k, percent, levels, shards), BLOBS)
     joined = linked(
-        blobs, lambda wanted: _sets(docs, nodes, wanted, key, text, k), _unpacked, percent,
-        lambda pairs: _close(nodes, pairs, percent),
+        blobs, lambda wanted: _sets(docs, nodes, wanted, key, text, k), _unpacked, percent, nodes.select("node", "n", "bits")
     )
     placed = nodes.join(joined, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     placed = pin(placed, "placed")

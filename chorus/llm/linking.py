@@ -172,11 +172,79 @@ def with_hubs(
     return laid.mapInArrow(_against_hubs(unpack, percent), "a bigint, b bigint")
 
 
+FEW = 12
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Rows (a, low, high, ...), which come sorted, as one list per first three columns."""
+    key, held = None, []
+    for batch in batches:
+        for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if row[:3] != key:
+                if held:
+                    yield key, held
+                key, held = row[:3], []
+            held.append(row[3:])
+    if held:
+        yield key, held
+
+
+def folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    """A sketch of fewer slots, still by parity."""
+    return sketch if len(sketch) == words else np.bitwise_xor.reduce(sketch.reshape(-1, words))
+
+
+def may_link(n: np.ndarray, m: np.ndarray, differ: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of n and m members that differ in at least ``differ`` of them can reach the threshold."""
+    return differ <= n + m - 2 * -(-percent * (n + m) // (100 + percent))
+
+
+def _screened(percent: int):
+    """Rows (a, b, root) of nodes with a partner in the group that sizes and parity sketches leave open."""
+
+    def open_ones(key: tuple, rows: list[tuple]) -> np.ndarray:
+        rows.sort(key=lambda r: r[3])
+        root, block, n = (np.array([r[i] for r in rows]) for i in (1, 2, 3))
+        own = [np.frombuffer(r[4], np.uint64) for r in rows]
+        keep, at = np.zeros(len(rows), bool), {}
+        for i in range(len(rows)):
+            last = int(np.searchsorted(n, n[i] * 100 // percent, "right"))
+            able = root[i + 1:last] != root[i]
+            if key[1] != key[2]:
+                able &= block[i + 1:last] != block[i]
+            near = i + 1 + np.flatnonzero(able)
+            if not len(near):
+                continue
+            words = len(own[i])  # no larger set has fewer
+            if len(near) <= FEW:
+                others = np.stack([folded(own[j], words) for j in near.tolist()])
+            else:
+                if words not in at:
+                    at[words] = np.zeros((len(rows), words), np.uint64)
+                    for j in range(i, len(rows)):
+                        at[words][j] = folded(own[j], words)
+                others = at[words][near]
+            differ = np.bitwise_count(others ^ own[i]).sum(1, dtype=np.int64)
+            left = near[may_link(n[near], n[i], differ, percent)]
+            if len(left):
+                keep[left] = keep[i] = True
+        return np.flatnonzero(keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, rows in _groups(batches):
+            left = [rows[i] for i in open_ones(key, rows).tolist()]
+            if left:
+                columns = [[key[0]] * len(left), [r[0] for r in left], [r[1] for r in left]]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["a", "b", "root"])
+
+    return run
+
+
 def _within(unpack: Callable[[bytes], np.ndarray], percent: int):
     """Links between different components among the nodes of one block, or of two."""
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        up: dict[int, int] = {r: r for r in frame["root"].tolist()}
+    def links_of(key: tuple, rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        up: dict[int, int] = {r[1]: r[1] for r in rows}
 
         def find(x: int) -> int:
             while up[x] != x:
@@ -184,71 +252,108 @@ def _within(unpack: Callable[[bytes], np.ndarray], percent: int):
                 x = up[x]
             return x
 
-        sets = [unpack(x) for x in frame["packed"]]
-        order = np.argsort([len(x) for x in sets], kind="stable")
-        sets = [sets[i] for i in order.tolist()]
-        node, root, block = (frame[c].to_numpy()[order] for c in ("b", "root", "block"))
-        split = frame["low"].iloc[0] != frame["high"].iloc[0]
-        n = np.array([len(x) for x in sets])
-        bits = min(MOST_BITS, max(64, 1 << int(2 * np.median(n)).bit_length()))
-        sketch = np.stack([parity(x, bits) for x in sets])
-        found, apart = [], len(up)
+        rows = sorted(((unpack(r[3]), *r[:3]) for r in rows), key=lambda r: len(r[0]))
+        sets, node, root, block = zip(*rows, strict=True)
+        n, roots, blocks = (np.array(x) for x in ([len(x) for x in sets], root, block))
+        sketch = None
+        if len(sets) > FEW:
+            bits = min(MOST_BITS, max(64, 1 << int(2 * np.median(n)).bit_length()))
+            sketch = np.stack([parity(x, bits) for x in sets])
+        apart = len(up)
         for i in range(len(sets)):
             if apart == 1:
-                break
+                return
             last = int(np.searchsorted(n, n[i] * 100 // percent, "right"))
-            able = root[i + 1:last] != root[i]
-            if split:
-                able &= block[i + 1:last] != block[i]
+            able = roots[i + 1:last] != root[i]
+            if key[1] != key[2]:
+                able &= blocks[i + 1:last] != block[i]
             near = i + 1 + np.flatnonzero(able)
-            if not len(near):
-                continue
-            differ = np.bitwise_count(sketch[near] ^ sketch[i]).sum(1, dtype=np.int64)
-            both = n[near] + n[i]
-            fits = differ <= both - 2 * -(-percent * both // (100 + percent))
-            near = near[fits][np.argsort(differ[fits], kind="stable")]
+            if sketch is not None and len(near):
+                differ = np.bitwise_count(sketch[near] ^ sketch[i]).sum(1, dtype=np.int64)
+                fits = may_link(n[near], n[i], differ, percent)
+                near = near[fits][np.argsort(differ[fits], kind="stable")]
             for j in near.tolist():
-                x, y = find(int(root[i])), find(int(root[j]))
+                x, y = find(root[i]), find(root[j])
                 if x != y and links(sets[i], sets[j], percent):
                     up[x] = y
                     apart -= 1
-                    found.append((int(node[i]), int(node[j])))
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+                    yield node[i], node[j]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, rows in _groups(batches):
+            found = list(links_of(key, rows))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["a", "b"])
 
     return run
 
 
+def _dealt(rest: DataFrame, held: DataFrame, size: str, *columns: str) -> DataFrame:
+    """The nodes around each hub with what is held of them, in blocks of bounded size, every two blocks together."""
+    sized = rest.select("a", "b").join(held.select("b", F.octet_length(size).alias("size")), "b")
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("size") / BLOCK_BYTES)).cast("int").alias("blocks")
+    blocks = pin(sized.groupBy("a").agg(blocks), "blocks")
+    placed = rest.join(blocks, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
+    other = placed.select("a", "b", "root", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    both = other.join(held, "b").select(
+        "a", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "b", "root", "block", *columns
+    )
+    return both.repartition("a", "low", "high").sortWithinPartitions("a", "low", "high")
+
+
 def linked(
     blobs: DataFrame, fetch: Callable[[DataFrame], DataFrame], unpack: Callable[[bytes], np.ndarray], percent: int,
-    narrow: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
+    sketches: DataFrame | None = None,
 ) -> DataFrame:
     """``node, root`` of all nodes that a verified pair names.
 
     ``fetch`` takes nodes and gives each one's packed set once, ``unpack`` makes it
-    a sorted array of distinct numbers; ``narrow`` may drop pairs that cannot link
-    before their sets move. Pairs whose sizes in the blobs rule out ``percent``
-    are not formed with a hub; pass equal sizes to form all.
+    a sorted array of distinct numbers. ``sketches``, for large sets, holds
+    ``node, n, bits``: with it, sets move only where sketches leave a pair open.
+    Pairs whose sizes in the blobs rule out ``percent`` are not formed with a hub;
+    pass equal sizes to form all.
     """
     shared = pin(blobs.groupBy("shard").applyInPandas(shared_entries, "entry binary, node binary, n binary"), "entries")
     stars = shared.mapInPandas(_stars(percent), "a bigint, b bigint, met bigint")
     stars = pin(stars.groupBy("b", "a").agg(F.sum("met").alias("met")), "stars")
-    best = stars.filter("met > 0").groupBy("b").agg(F.max_by("a", F.struct("met", "a")).alias("a"))
-    first = pin(narrow(pin(best.select("a", "b"), "pairs")), "close")
+    best = stars.filter("met > 0").groupBy("b").agg(F.max_by("a", F.struct("met", "a")).alias("best"))
+    best = pin(best, "pairs")
+    first = best.select(F.col("best").alias("a"), "b")
+    if sketches is not None:
+        first = pin(_close(first, sketches, percent), "close")
     found = pin(with_hubs(first, fetch, unpack, percent), "links")
 
     joined = components(found).select(F.col("node").alias("b"), "root")
-    rooted = stars.join(joined, "b", "left").select("a", "b", F.coalesce("root", "b").alias("root"))
+    rooted = stars.join(joined, "b", "left").join(best, "b", "left").select(
+        "a", "b", F.coalesce("root", "b").alias("root"), F.coalesce(F.col("a") == F.col("best"), F.lit(False)).alias("tried")
+    )
     rooted = pin(rooted, "rooted")
-    spread = rooted.groupBy("a").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most")
-    rest = pin(rooted.join(spread.select("a"), "a", "left_semi"), "rest")
+    spread = rooted.groupBy("a").agg(
+        F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("n"), F.count_if("tried").alias("tried")
+    ).filter("least < most AND NOT (n = 2 AND tried = 1)")  # a lone pair has been compared
+    rest = pin(rooted.join(spread.select("a"), "a", "left_semi").select("a", "b", "root"), "rest")
+    if sketches is not None:
+        held = sketches.withColumnRenamed("node", "b")
+        laid = _dealt(rest, held, "bits", "n", "bits")
+        rest = pin(laid.mapInArrow(_screened(percent), "a bigint, b bigint, root bigint").distinct(), "rest")
     sets = pin(fetch(pin(rest.select(F.col("b").alias("node")).distinct(), "wanted")), "sets").withColumnRenamed("node", "b")
-    held = rest.join(sets.select("b", F.octet_length("packed").alias("size")), "b")
-    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("size") / BLOCK_BYTES)).cast("int").alias("blocks")
-    blocks = pin(held.groupBy("a").agg(blocks), "blocks")
-    placed = rest.join(blocks, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
-    dealt = placed.select("a", "b", "root", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.join(sets, "b").select(
-        "a", "b", "root", "block", "packed", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
-    )
-    more = dealt.groupBy("a", "low", "high").applyInPandas(_within(unpack, percent), "a bigint, b bigint")
+    more = _dealt(rest, sets, "packed", "packed").mapInArrow(_within(unpack, percent), "a bigint, b bigint")
     return components(found.unionByName(pin(more, "links")))
+
+
+def _close(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs that sketches leave open."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(*[c.to_pylist() for c in batch.columns[2:]], strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                words = min(len(x), len(y))
+                differ = int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum())
+                keep.append(bool(may_link(n, m, differ, percent)))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    of = [sketches.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab"]
+    marked = pairs.join(of[0], "a").join(of[1], "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    return marked.mapInArrow(run, "a bigint, b bigint")

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from chorus.llm import jaccard_join, queries
+from chorus.llm import jaccard_join, linking, queries
 from tests.llm.helpers import Groups, noisy_copies, shingle_set
 
 SCHEMA = "doc_id bigint, text string, node string, _node int"
@@ -113,3 +113,23 @@ def test_query(spark, sf_dir):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     rows = queries.op3_jaccard_join(spark, sf_dir).select("doc_id", "n_shingles", "component_id").collect()
     assert sorted(map(tuple, rows), key=str) == expected(docs, 3, 90)
+
+
+def test_sketches_never_rule_out_a_link():
+    rnd = np.random.default_rng(4)
+    sets = []
+    for size in (1, 5, 40, 700):
+        base = rnd.integers(0, 2**63, size, dtype=np.uint64)
+        for _ in range(12):
+            own = rnd.integers(0, 2**63, rnd.integers(0, 1 + size // 6), dtype=np.uint64)
+            sets.append(np.unique(np.concatenate([base[rnd.random(size) > 0.05], own])))
+    sets = [x for x in sets if len(x)]
+    bounds = np.cumsum([0, *map(len, sets)])
+    sketch = [np.frombuffer(x, np.uint64) for x in jaccard_join._sketches(np.concatenate(sets), bounds)]
+    for x, p in zip(sets, sketch):
+        for y, q in zip(sets, sketch):
+            words = min(len(p), len(q))
+            differ = int(np.bitwise_count(linking.folded(p, words) ^ linking.folded(q, words)).sum())
+            assert differ <= len(x) + len(y) - 2 * linking.common(x, y)
+            if linking.links(x, y, 80):
+                assert linking.may_link(len(x), len(y), differ, 80)
