@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chorus.operators.scale import lookup, pin, semi, top_n
+from chorus.operators.scale import join_keyed, lookup, pin, semi, top_n
 from chorus.schema import DOC, ENTITY
 
 TOP_TERMS = 30
@@ -27,7 +27,7 @@ def _order(value: Column | str) -> Column:
 
 def align_docs(doc_topic: DataFrame, lengths: DataFrame, by: list[str] = ENTITY, doc: str = DOC) -> DataFrame:
     """Topic shares and lengths of the same documents, matched by key."""
-    return doc_topic.join(lengths, [*by, doc])
+    return join_keyed(doc_topic, lengths, [*by, doc])
 
 
 def topic_mass(doc_topic: DataFrame, by: list[str] = ENTITY) -> DataFrame:
@@ -47,7 +47,7 @@ def topic_proportion(doc_topic: DataFrame, by: list[str] = ENTITY) -> DataFrame:
 def term_topic_freq(topic_term: DataFrame, mass: DataFrame, by: list[str] = ENTITY) -> DataFrame:
     """Estimated count of each term in each topic, with the topic's share alongside."""
     shares = mass.select(*by, "topic", "mass", "total", "proportion")
-    joined = lookup(topic_term.select(*by, "topic", "term", "phi"), shares, [*by, "topic"])
+    joined = lookup(topic_term.select(*by, "topic", "term", "phi"), shares, [*by, "topic"], nulls=True)
     return joined.withColumn("freq", F.col("mass") * F.col("phi")).drop("mass")
 
 
@@ -118,7 +118,7 @@ def shown_terms(salient: DataFrame, relevant: DataFrame, by: list[str] = ENTITY)
 
 def token_table(freqs: DataFrame, shown: DataFrame, by: list[str] = ENTITY) -> DataFrame:
     """P(topic given term) for every shown term, over the topics it occurs in."""
-    kept = semi(freqs.filter(F.col("freq") > 0), shown, [*by, "term"])
+    kept = semi(freqs.filter(F.col("freq") > 0), shown, [*by, "term"], nulls=True)
     whole = F.sum("freq").over(Window.partitionBy(*by, "term"))
     return kept.select(*by, "topic", "term", (F.col("freq") / whole).alias("share"))
 
@@ -135,7 +135,7 @@ def topic_pairs(topics: DataFrame, by: list[str] = ENTITY) -> DataFrame:
     right = topics.select(
         *[F.col(c).alias(f"_b_{c}") for c in by], F.col("topic").alias("topic_b"), F.col("seat").alias("b")
     )
-    same = [F.col(c) == F.col(f"_b_{c}") for c in by]
+    same = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in by]
     joined = left.join(right, [*same, F.col("a") < F.col("b")])
     return joined.select(*by, "topic_a", "topic_b", "a", "b")
 
@@ -154,7 +154,7 @@ def topic_distance(topic_term: DataFrame, by: list[str] = ENTITY) -> DataFrame:
     """
     topics = pin(topic_list(topic_term, by), "topics")
     k = (topics.agg(F.max("seat")).first()[0] or 0) + 1
-    seated = lookup(topic_term.select(*by, "topic", "term", "phi"), topics, [*by, "topic"])
+    seated = lookup(topic_term.select(*by, "topic", "term", "phi"), topics, [*by, "topic"], nulls=True)
     at_seat = [F.sum(F.when(F.col("seat") == i, F.col("phi")).otherwise(0.0)).alias(f"_p{i}") for i in range(k)]
     by_term = seated.groupBy(*by, "term").agg(*at_seat)
     terms = by_term.select(*by, F.explode(F.array(F.array(*[f"_p{i}" for i in range(k)]))).alias("_p"))
@@ -166,21 +166,24 @@ def topic_distance(topic_term: DataFrame, by: list[str] = ENTITY) -> DataFrame:
     a, b = F.col("a"), F.col("b")
     slot = (k + a * (2 * k - a - 1) / 2 + (b - a - 1)).cast("int")
     value = (F.get("_h", a) + F.get("_h", b)) / 2 - F.get("_h", slot)
-    seen = topic_pairs(topics, by).join(sums, by)
+    seen = join_keyed(topic_pairs(topics, by), sums, by)
     return seen.select(*by, "topic_a", "topic_b", F.greatest(value, F.lit(0.0)).alias("distance"))
 
 
 def _scale(pdf: pd.DataFrame, by: list[str]) -> pd.DataFrame:
     """Classical two-dimensional scaling of one entity's small distance table."""
-    square = pdf.pivot(index="topic_a", columns="topic_b", values="distance").to_numpy()
-    k = len(square)
+    topics = sorted(set(pdf["topic_a"]), key=lambda t: (t is None or t != t, t))
+    seat = {t: i for i, t in enumerate(topics)}
+    k = len(topics)
+    square = np.zeros((k, k))
+    square[[seat[t] for t in pdf["topic_a"]], [seat[t] for t in pdf["topic_b"]]] = pdf["distance"]
     center = np.eye(k) - 1.0 / k
     values, vectors = np.linalg.eigh(-0.5 * center @ (square**2) @ center)
     places = np.zeros((k, 2))
     for axis, at in enumerate(np.argsort(values)[::-1][:2]):
         way = vectors[:, at] * np.sqrt(max(values[at], 0.0))
         places[:, axis] = way * (np.sign(way[np.argmax(np.abs(way))]) or 1.0)
-    out = pdf[by].iloc[:1].merge(pd.DataFrame({"topic": sorted(pdf["topic_a"].unique())}), how="cross")
+    out = pdf[by].iloc[:1].merge(pd.DataFrame({"topic": topics}), how="cross")
     return out.assign(x=places[:, 0], y=places[:, 1])
 
 
@@ -210,7 +213,7 @@ def summary_validate(
         F.min("n").alias("shortest"),
     )
     seen = doc_topic.select(*by, "topic").distinct().groupBy(*by).agg(F.count("*").alias("theta_topics"))
-    both = phi.join(docs, by, "full_outer").join(seen, by, "full_outer")
+    both = join_keyed(join_keyed(phi, docs, by, "full_outer"), seen, by, "full_outer")
     checks = {
         "phi_sums_to_one": F.col("phi_gap") <= tolerance,
         "theta_sums_to_one": F.col("theta_gap") <= tolerance,
@@ -252,7 +255,7 @@ def topic_summary(
     relevant = pin(relevant_terms(freqs, by, n, steps), "relevant")
     places = topic_coordinates(topic_distance(topic_term, by), topic_list(topic_term, by), by)
 
-    map_rows = mass.join(places, [*by, "topic"]).select(
+    map_rows = join_keyed(mass, places, [*by, "topic"]).select(
         *by, "x", "y", F.col("topic").alias("topics"), F.lit(1).alias("cluster"),
         (F.col("proportion") * 100).alias("Freq"),
     )
@@ -265,15 +268,15 @@ def topic_summary(
     per_topic = relevant.groupBy(*by, "topic", "term").agg(
         F.min("rank").alias("_rank"), F.max("freq").alias("Freq"), F.max("term_total").alias("Total"),
         F.max("logprob").alias("logprob"), F.max("loglift").alias("loglift"),
-    ).withColumnRenamed("term", "Term").withColumn("Category", F.concat(F.lit("Topic"), F.col("topic")))
+    ).withColumnRenamed("term", "Term").withColumn("Category", F.concat(F.lit("Topic"), F.coalesce(F.col("topic").cast("string"), F.lit(""))))
     shares = token_table(freqs, shown_terms(salient, relevant, by), by).select(
         *by, F.col("topic").alias("Topic"), F.col("share").alias("Freq"), F.col("term").alias("Term")
     )
 
     parts = _fold(map_rows, by, ["topics"], ["x", "y", "topics", "cluster", "Freq"], "mdsDat")
     info = ["Term", "Freq", "Total", "Category", "logprob", "loglift"]
-    parts = parts.join(_fold(overall.unionByName(per_topic), by, ["topic", "_rank", "Term"], info, "tinfo"), by)
-    parts = parts.join(_fold(shares, by, ["Term", "Topic"], ["Topic", "Freq", "Term"], "token.table"), by)
+    parts = join_keyed(parts, _fold(overall.unionByName(per_topic), by, ["topic", "_rank", "Term"], info, "tinfo"), by)
+    parts = join_keyed(parts, _fold(shares, by, ["Term", "Topic"], ["Topic", "Freq", "Term"], "token.table"), by)
     document = F.struct(
         "mdsDat", "tinfo", F.col("`token.table`"), F.lit(n).alias("R"), F.lit(1 / steps).alias("lambda.step"),
         F.struct(F.lit("PC1").alias("xlab"), F.lit("PC2").alias("ylab")).alias("plot.opts"),

@@ -1,13 +1,14 @@
 """From review text to tokens, vocabulary, term counts and TF-IDF weights.
 
-``by`` lists the entity columns: one call covers every entity at once.
+``by`` lists the entity columns: one call covers every entity at once, one whose
+columns are null or empty like any other.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chorus.functions import text as tx
-from chorus.operators.scale import lookup, pin, rank_all, spread
+from chorus.operators.scale import join_keyed, lookup, pin, rank_all, spread
 from chorus.schema import DOC, ENTITY, MIN_TOKENS
 
 
@@ -110,7 +111,7 @@ def doc_counts(tokens: DataFrame, by: list[str] = ENTITY) -> DataFrame:
 def idf(tokens: DataFrame, by: list[str] = ENTITY) -> DataFrame:
     """ln((m + 1) / (df + 1)) for every term of every entity."""
     sizes = pin(doc_counts(tokens, by), "doc_counts")
-    counted = lookup(document_frequency(tokens, by), sizes, by, load="n_docs")
+    counted = lookup(document_frequency(tokens, by), sizes, by, load="n_docs", nulls=True)
     weight = F.log((F.col("n_docs") + 1) / (F.col("doc_freq") + 1))
     return counted.select(*by, "term", "doc_freq", weight.alias("idf"))
 
@@ -122,7 +123,7 @@ def tf_idf(tokens: DataFrame, by: list[str] = ENTITY, doc: str = DOC) -> DataFra
     the join which terms are hot.
     """
     weights = pin(idf(tokens, by), "idf")
-    weighted = lookup(term_frequency(tokens, by, doc), weights, [*by, "term"], load="doc_freq")
+    weighted = lookup(term_frequency(tokens, by, doc), weights, [*by, "term"], load="doc_freq", nulls=True)
     return weighted.select(*by, doc, "term", "n", (F.col("n") * F.col("idf")).alias("tf_idf"))
 
 
@@ -130,7 +131,7 @@ def doc_count_check(fitted: DataFrame, tokens: DataFrame, by: list[str] = ENTITY
     """Compares the document count seen when fitting (``fitted.n_docs``) with the table."""
     table = doc_counts(tokens, by).withColumnRenamed("n_docs", "table_docs")
     seen = fitted.select(*by, F.col("n_docs").alias("fit_docs"))
-    both = seen.join(table, by, "full_outer")
+    both = join_keyed(seen, table, by, "full_outer")
     return both.withColumn("ok", F.coalesce(F.col("fit_docs") == F.col("table_docs"), F.lit(False)))
 
 

@@ -85,6 +85,7 @@ def lookup(
     how: str = "inner",
     limit: int | None = None,
     hot_keys: int | None = None,
+    nulls: bool = False,
 ) -> DataFrame:
     """Join many ``rows`` to a ``table`` that holds one row per (non-null) key.
 
@@ -96,8 +97,11 @@ def lookup(
     shuffle partitions), so there are fewer hot keys than that by arithmetic.
     Hot keys are broadcast and their rows never shuffled; all others are light
     and take a shuffle join. Without a hot key it is a plain shuffle join. A row
-    with a null key matches nothing, whatever the size; a left join keeps it.
+    with a null key matches nothing, whatever the size; a left join keeps it. With
+    ``nulls``, null is a key like any other.
     """
+    if nulls:
+        return _unpacked(lookup(_packed(rows, keys), _packed(table, keys), ["_keys"], load, how, limit, hot_keys), keys)
     if how not in ("inner", "left", "known"):  # known: a left join of rows without a null key
         raise ValueError(f"unsupported join type {how!r}")
     limit = BROADCAST_BYTES if limit is None else limit
@@ -132,6 +136,24 @@ def lookup(
     return joined.drop("_load", "_known")
 
 
+def _packed(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with its keys in one struct, which is never null and equal where all its fields are, null or not."""
+    return df.select(F.struct(*[F.col(c) for c in keys]).alias("_keys"), *_others(df, keys))
+
+
+def _unpacked(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.select(*[F.col("_keys").getField(c).alias(c) for c in keys], *_others(df, ["_keys"]))
+
+
+def _others(df: DataFrame, taken: list[str]) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns if c not in taken]
+
+
+def join_keyed(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join by keys, null being a key like any other; keys come first, once, from either side."""
+    return _unpacked(_packed(left, keys).join(_packed(right, keys), "_keys", how), keys)
+
+
 def match_null_safe(rows: DataFrame, table: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Equi-join in which null keys match each other; the key columns of ``rows`` are kept."""
     others = [c for c in table.columns if c not in keys]
@@ -140,8 +162,10 @@ def match_null_safe(rows: DataFrame, table: DataFrame, keys: list[str], how: str
     return rows.join(right, same, how).drop(*[f"_r_{c}" for c in keys])
 
 
-def semi(rows: DataFrame, table: DataFrame, keys: list[str], limit: int | None = None) -> DataFrame:
+def semi(rows: DataFrame, table: DataFrame, keys: list[str], limit: int | None = None, nulls: bool = False) -> DataFrame:
     """Rows whose key occurs in ``table``; the key list is broadcast only when measured small."""
+    if nulls:
+        return _unpacked(semi(_packed(rows, keys), _packed(table, keys), ["_keys"], limit), keys)
     wanted = table.select(*keys).distinct()
     if measure(wanted) <= (BROADCAST_BYTES if limit is None else limit):
         wanted = F.broadcast(wanted)
@@ -191,7 +215,7 @@ def rank_all(df: DataFrame, by: list[str], order: list[Column], rank: str = "ran
         .agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
         .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
     )
-    placed = lookup(fixed, pin(runs, "runs"), [*by, "_part"], load="_rows")
+    placed = lookup(fixed, pin(runs, "runs"), [*by, "_part"], load="_rows", nulls=True)
     return placed.withColumn(
         rank, (F.col("_at") - F.col("_first") + F.col("_before") + 1).cast("bigint")
     ).drop("_at", "_part", "_first", "_rows", "_before")

@@ -198,7 +198,7 @@ def label_topics(tokens: DataFrame, label: str, by: list[str] = ENTITY, doc: str
     terms = labelled.select(*keys, F.explode("words").alias("term"))
     counts = terms.groupBy(*keys, "term").agg(F.count("*").alias("weight"))
     totals = labelled.groupBy(*keys).agg(F.sum(F.size("words")).alias("_all"))
-    phi = lookup(counts, pin(totals, "label_totals"), keys).withColumn("phi", F.col("weight") / F.col("_all")).drop("_all")
+    phi = lookup(counts, pin(totals, "label_totals"), keys, nulls=True).withColumn("phi", F.col("weight") / F.col("_all")).drop("_all")
     theta = labelled.withColumn("n_tokens", F.size("words").cast("bigint")).withColumn("theta", F.lit(1.0))
     fits = tokens.groupBy(*by).agg(F.count("*").alias("n_docs"))
     return TopicTables(phi, theta.drop("words"), fits)

@@ -259,7 +259,7 @@ def review_topics_run(spark, sf_dir):
     path, root = (f"{work_dir(spark)}/{k}-{uuid4().hex}" for k in ("reviews", "topics"))
     pages = raw_pages(spark, sf_dir).drop("page_no").withColumn("app_id", F.lit("all"))
     extract.extract_app_store(pages, path, cap=10**9)
-    review_topics.run(spark, path, root, settings=tm.LdaSettings(n_topics=3), langs=LANGS)
+    review_topics.run(spark, path, root, langs=LANGS)
     doc = F.from_json("lda_data", results.TOPIC_JSON)
     return results.read_results(spark, root).select(
         "store", "app_name", "app_id", "country", "lang", F.size(doc["mdsDat"]["topics"]).alias("n_topics")
@@ -700,7 +700,7 @@ def linguistic_lda(spark, sf_dir):
     """The linguistic text path, lemmas and phrases, into a model per language."""
     lemmas, tags = dictionaries(spark, sf_dir)
     made = topic_tables(
-        docs(spark, sf_dir), ["lang"], tm.LdaSettings(n_topics=3), mode="linguistic", lemmas=lemmas, tags=tags
+        docs(spark, sf_dir), ["lang"], mode="linguistic", lemmas=lemmas, tags=tags
     )
     return made.fits.select("lang", "n_topics", "n_terms", "n_docs")
 

@@ -185,7 +185,7 @@ def statements() -> dict[str, str]:
             FROM found WHERE nth <= 20""",
         "review_topics_run": f"""
             WITH {tokens} SELECT 'app_store' AS store, 'App' AS app_name, 'all' AS app_id, lang AS country, lang,
-                   3 AS n_topics FROM kept GROUP BY lang""",
+                   5 AS n_topics FROM kept GROUP BY lang""",
         "topic_result_upsert_store_key": f"""
             WITH {STORED}, ranked AS (SELECT *, row_number() OVER (PARTITION BY store, app_name, app_id
                     ORDER BY lang IN ('de', 'es') DESC, update_dt DESC, lda_data DESC) AS nth FROM stored)
@@ -398,7 +398,7 @@ def statements() -> dict[str, str]:
                    0::BIGINT AS n_tokens_dropped, 0::BIGINT AS n_docs_without_term FROM terms GROUP BY lang""",
         "linguistic_lda": f"""
             WITH {words}, said AS (SELECT review_id, unnest(list_concat(lemmas, phrases)) AS word FROM chunks)
-            SELECT lang, 3 AS n_topics, count(DISTINCT word) AS n_terms, count(DISTINCT review_id) AS n_docs
+            SELECT lang, 5 AS n_topics, count(DISTINCT word) AS n_terms, count(DISTINCT review_id) AS n_docs
             FROM said JOIN documents ON doc_id = review_id GROUP BY lang""",
         "lda_fit_validate": f"SELECT 'google_play' AS store, * FROM ({_ALL_CHECKS_HOLD})",
         "lda_validate": f"""
