@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chorus.llm.common import fresh, repeats, rows_of, rows_without, small_batches, with_text
-from chorus.llm.linking import BLOBS, EntryBlobs, linked
+from chorus.llm.linking import BLOBS, EntryBlobs, folded, linked
 from chorus.llm.vector_text import mix, salted, shingle_sets, texts
 from chorus.operators.scale import pin
 
@@ -69,11 +69,19 @@ def _sketches(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
     return [packed[a // 8:b // 8] for a, b in zip((ends - size).tolist(), ends.tolist(), strict=True)]
 
 
+#: Bytes of the sketch that is looked at first; enough to tell sets of some thousands apart that share little.
+COARSE = 64
+
+
+def _coarse(sketches: list[bytes]) -> list[bytes]:
+    return [folded(np.frombuffer(x, np.uint64), min(len(x), COARSE) // 8).tobytes() for x in sketches]
+
+
 def _survey(k: int, key: str):
-    """Rows (key, n, node, sketch) of every document, and per task what its distinct sets add to the sketch."""
+    """Rows (key, n, node, sketch, coarse sketch) of every document, and per task what its distinct sets add to the sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, kind = [key, "_n", "_node", "_bits", "_block", "_counts"], None
+        names, kind = [key, "_n", "_node", "_bits", "_coarse", "_block", "_counts"], None
         slots, seen = np.zeros(SLOTS, np.uint32), set()
         for batch in batches:
             kind = batch.column(0).type
@@ -84,15 +92,15 @@ def _survey(k: int, key: str):
                 seen.update(node.tolist())
                 mine = values[np.repeat(new, n)]
                 slots += np.bincount((mine >> np.uint64(40)) % np.uint64(SLOTS), minlength=SLOTS).astype(np.uint32)
-                rows = len(group)
+                rows, sketches = len(group), _sketches(values, bounds)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(group.first, rows), pa.array(n), pa.array(node, mask=n == 0),
-                    pa.array(_sketches(values, bounds), pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary()),
+                    pa.array(sketches, pa.binary()), pa.array(_coarse(sketches), pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary()),
                 ], names=names)
         if kind is not None:
             yield pa.RecordBatch.from_arrays([
                 pa.nulls(BLOCKS, kind), pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.int64()),
-                pa.nulls(BLOCKS, pa.binary()),
+                pa.nulls(BLOCKS, pa.binary()), pa.nulls(BLOCKS, pa.binary()),
                 pa.array(range(BLOCKS), pa.int32()),
                 pa.array([x.tobytes() for x in slots.reshape(BLOCKS, -1)], pa.binary()),
             ], names=names)
@@ -272,18 +280,19 @@ def near_duplicates(
     kind = docs.schema[key].dataType.simpleString()
     shards = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     survey = pin(
-        asked.mapInArrow(_survey(k, key), f"`{key}` {kind}, _n bigint, _node bigint, _bits binary, _block int, _counts binary"), "survey"
+        asked.mapInArrow(_survey(k, key), f"`{key}` {kind}, _n bigint, _node bigint, _bits binary, _coarse binary, _block int, _counts binary"), "survey"
     )
     levels = spark.sparkContext.broadcast(_levels(survey))
     seen = survey.filter(F.col("_block").isNull()).select(key, "_n", "_node")
     nodes = survey.filter(F.col("_node").isNotNull()).groupBy(F.col("_node").alias("node")).agg(
-        F.min(key).alias("rep"), F.first("_n").alias("n"), F.first("_bits").alias("bits")
+        F.min(key).alias("rep"), F.first("_n").alias("n"), F.first("_bits").alias("bits"),
+        F.first("_coarse").alias("coarse"),
     )
     nodes = pin(nodes, "nodes")
 
     blobs = docs.select(text).mapInArrow(_index(k, percent, levels, shards), BLOBS)
     joined = linked(
-        blobs, lambda wanted: _sets(docs, nodes, wanted, key, text, k), _unpacked, percent, nodes.select("node", "n", "bits")
+        blobs, lambda wanted: _sets(docs, nodes, wanted, key, text, k), _unpacked, percent, nodes.select("node", "n", "bits", "coarse")
     )
     placed = nodes.join(joined, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     placed = pin(placed, "placed")

@@ -309,7 +309,8 @@ def linked(
 
     ``fetch`` takes nodes and gives each one's packed set once, ``unpack`` makes it
     a sorted array of distinct numbers. ``sketches``, for large sets, holds
-    ``node, n, bits``: with it, sets move only where sketches leave a pair open.
+    ``node, n`` and two sketches, ``coarse`` and ``bits``: with it, sets move only
+    where sketches, the short one first, leave a pair open.
     Pairs whose sizes in the blobs rule out ``percent`` are not formed with a hub;
     pass equal sizes to form all.
     """
@@ -334,8 +335,9 @@ def linked(
     rest = pin(rooted.join(spread.select("a"), "a", "left_semi").select("a", "b", "root"), "rest")
     if sketches is not None:
         held = sketches.withColumnRenamed("node", "b")
-        laid = _dealt(rest, held, "bits", "n", "bits")
-        rest = pin(laid.mapInArrow(_screened(percent), "a bigint, b bigint, root bigint").distinct(), "rest")
+        for sketch in ("coarse", "bits"):
+            laid = _dealt(rest, held, sketch, "n", sketch)
+            rest = pin(laid.mapInArrow(_screened(percent), "a bigint, b bigint, root bigint").distinct(), "rest")
     sets = pin(fetch(pin(rest.select(F.col("b").alias("node")).distinct(), "wanted")), "sets").withColumnRenamed("node", "b")
     more = _dealt(rest, sets, "packed", "packed").mapInArrow(_within(unpack, percent), "a bigint, b bigint")
     return components(found.unionByName(pin(more, "links")))
