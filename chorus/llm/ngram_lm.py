@@ -4,7 +4,7 @@ Training counts are gathered in blobs of sorted hashes, one per task and shard,
 so the shuffle moves few rows whatever the number of n-grams. A shard holds all
 bigrams whose context falls into it; its file is a sorted array of bigram hashes
 beside their counts. A second shuffle joins, per word, what the word does as a
-context with how many contexts it continues. There are as many shards as shuffle
+context with how many contexts it continues. The number of shards follows the shuffle
 partitions, however finely the input is split.
 Files have fixed names and contents, so a repeated task rewrites the same bytes.
 """
@@ -31,7 +31,9 @@ START = np.uint64(0x5354415254)
 END = np.uint64(0x454E44)
 #: Tokens sorted together, and counted bigrams a task holds before it gives them out.
 TOKENS_AT_ONCE = 500_000
-BIGRAMS_AT_ONCE = 1_500_000
+BIGRAMS_AT_ONCE = 2_000_000
+#: Small shards keep a worker's arrays small.
+SHARDS_PER_SHUFFLE_PARTITION = 4
 #: Per word: times seen as a token; times as a context of bigrams seen once, twice, more; contexts it continues.
 FACTS = ("count", "once", "twice", "more", "continues")
 FACT_BYTES = 8 + 8 * len(FACTS)
@@ -124,7 +126,7 @@ def _counted(context: np.ndarray, word: np.ndarray, count: np.ndarray) -> tuple[
     new[1:] = pair[1:] != pair[:-1]
     at = np.flatnonzero(new)
     first = order[at]
-    return context[first], word[first], np.add.reduceat(count[order], at, dtype=np.uint32)
+    return context[first], word[first], np.add.reduceat(count[order], at, dtype=np.uint32) if len(at) else count
 
 
 def _count_bigrams(shards: int):
@@ -169,10 +171,9 @@ def _close_bigrams(path: str, shards: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         shard = int(group["shard"].iloc[0])
         keys = (_column(group, "c0", np.uint64), _column(group, "c1", np.uint64))
-        (context, word), (count,) = _summed(keys, [_column(group, "c2", np.uint32).astype(np.int64)])
-        hashes = bigram_of(context, word)
-        order = np.argsort(hashes)
-        _put(path, f"bigrams-{shard}", [hashes[order], count[order].astype(np.uint32)])
+        context, word, count = _counted(*keys, _column(group, "c2", np.uint32))
+        _put(path, f"bigrams-{shard}", [bigram_of(context, word), count])
+        count = count.astype(np.int64)
         one = np.ones(len(count), np.int64)
         zero = np.zeros(len(count), np.int64)
         by_context = (context, [count, one * (count == 1), one * (count == 2), one * (count > 2), zero])
@@ -233,7 +234,7 @@ def fit(docs: DataFrame, path: str, text: str = "text") -> Model:
     empty table gives a model that has seen nothing.
     """
     spark = small_batches(docs).sparkSession
-    shards = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shards = max(8, SHARDS_PER_SHUFFLE_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
     blobs = docs.select(text).mapInArrow(_count_bigrams(shards), "shard int, c0 binary, c1 binary, c2 binary")
     facts = blobs.groupBy("shard").applyInPandas(
         _close_bigrams(path, shards),
