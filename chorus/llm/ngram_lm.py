@@ -45,6 +45,7 @@ class Model:
 
     path: str
     shards: int
+    word_shards: int
     tokens: int
     types: int
     bigrams: int
@@ -165,7 +166,7 @@ def _count_bigrams(shards: int):
     return run
 
 
-def _close_bigrams(path: str, shards: int):
+def _close_bigrams(path: str, word_shards: int):
     """Write a shard of bigrams; pass on what it says of contexts and of words."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -183,7 +184,7 @@ def _close_bigrams(path: str, shards: int):
         both = np.concatenate([seen, word])
         all_facts = [np.concatenate([f, continues if k == 4 else none]) for k, f in enumerate(facts)]
         (both,), all_facts = _summed((both,), all_facts)
-        made = _blobs(both % np.uint64(shards), [both, np.stack(all_facts, 1)]).to_pandas()
+        made = _blobs(both % np.uint64(word_shards), [both, np.stack(all_facts, 1)]).to_pandas()
         for k in range(1, 5):
             made[f"n{k}"] = int((count == k).sum()) if len(made) else 0
             made.loc[made.index[1:], f"n{k}"] = 0
@@ -234,10 +235,11 @@ def fit(docs: DataFrame, path: str, text: str = "text") -> Model:
     empty table gives a model that has seen nothing.
     """
     spark = small_batches(docs).sparkSession
-    shards = max(8, SHARDS_PER_SHUFFLE_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    word_shards = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shards = SHARDS_PER_SHUFFLE_PARTITION * word_shards
     blobs = docs.select(text).mapInArrow(_count_bigrams(shards), "shard int, c0 binary, c1 binary, c2 binary")
     facts = blobs.groupBy("shard").applyInPandas(
-        _close_bigrams(path, shards),
+        _close_bigrams(path, word_shards),
         "shard int, c0 binary, c1 binary, n1 bigint, n2 bigint, n3 bigint, n4 bigint",
     )
     facts = pin(facts, "lm-words")
@@ -252,7 +254,7 @@ def fit(docs: DataFrame, path: str, text: str = "text") -> Model:
     lower = _discounts(t["m1"], t["m2"], t["m3"], t["m4"])
     freed = lower[0] * t["m1"] + lower[1] * t["m2"] + lower[2] * t["m_more"]
     return Model(
-        path, shards, t["tokens"] + t["texts"], t["types"] + (t["texts"] > 0), t["bigrams"],
+        path, shards, word_shards, t["tokens"] + t["texts"], t["types"] + (t["texts"] > 0), t["bigrams"],
         _discounts(*n), lower, freed / t["bigrams"] if t["bigrams"] else 1.0,
     )
 
@@ -309,11 +311,11 @@ class _Arrays:
 def _token_scores(arrays: _Arrays, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """log10 probability, add-one log10 probability and whether it is known, of every token."""
     m = arrays.model
-    shards = np.uint64(m.shards)
+    shards, word_shards = np.uint64(m.shards), np.uint64(m.word_shards)
     words, back = np.unique(np.concatenate([word, context]), return_inverse=True)
-    facts = arrays.find("words", words % shards, words).astype(np.float64)
+    facts = arrays.find("words", words % word_shards, words).astype(np.float64)
     counts = facts[:, 0].copy()
-    counts[words == END] = arrays.find("words", np.array([START % shards]), np.array([START]))[0, 0]
+    counts[words == END] = arrays.find("words", np.array([START % word_shards]), np.array([START]))[0, 0]
     at, of = back[:len(word)], back[len(word):]
 
     d1, d2, d3 = m.lower_discounts
