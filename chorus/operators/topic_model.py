@@ -1,19 +1,16 @@
-"""Topic models: distributed LDA on TF-IDF weights, and topics given by a label column."""
+"""Topic models: LDA on TF-IDF weights, for one entity or all, and topics given by a label column."""
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from uuid import uuid4
 
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import IDF, CountVectorizerModel, IDFModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
-from chorus.operators.corpus import doc_counts, vocabulary
-from chorus.operators.scale import lookup, match_null_safe, pin, work_dir
+from chorus.operators import keyed_lda
+from chorus.operators.scale import lookup, pin
 from chorus.schema import DOC, ENTITY, LDA_ITERATIONS, LDA_SEED, LDA_TOPICS
 
 # The layout of documents, which the fit samples by, follows from their number alone.
@@ -125,70 +122,18 @@ def lda_per_entity(
     by: list[str] = ENTITY,
     settings: LdaSettings = LdaSettings(),
     doc: str = DOC,
-    parallel: int = 4,
 ) -> TopicTables | None:
-    """One model per entity over shared, already tokenised input.
-
-    Entities are numbered, null and empty keys like any other, and tokens and
-    vocabularies are computed once and written in one directory per number, so a
-    fit reads its own rows only. The fits, themselves distributed jobs, run a few
-    at a time; each writes its rows under one common table per kind. The driver
-    holds the entity list and one vocabulary and topic matrix per running fit.
-    ``fits`` tells how many terms were seen and used, how many tokens the model
-    does not know, and how many documents hold no known term. ``None`` when no
-    entity has anything to fit.
+    """One model per entity over shared, already tokenised input, all fitted in the same jobs.
+
+    Null and empty keys are entities like any other. ``fits`` tells how many
+    terms were seen and used, how many tokens the model does not know, and how
+    many documents hold no known term. ``None`` when no entity has anything to
+    fit. The method and its layout are described in ``keyed_lda``.
     """
-    spark = tokens.sparkSession
-    kinds = tokens.schema
-    listed = doc_counts(tokens, by).orderBy(*by).collect()
-    entities = [r.asDict() for r in listed]
-    shape = T.StructType([*[T.StructField(c, kinds[c].dataType) for c in by], T.StructField("_entity", T.IntegerType())])
-    numbers = pin(spark.createDataFrame([(*[r[c] for c in by], i) for i, r in enumerate(listed)], shape), "entities")
-    columns = tokens.columns
-    tokens = pin(match_null_safe(tokens, numbers, by, "inner"), "tokens", ["_entity"])
-    ranked = vocabulary(tokens, ["_entity"], doc, None, settings.min_df)
-    terms = pin(ranked, "vocabulary", ["_entity"])
-    root = f"{work_dir(spark)}/fits-{uuid4().hex}"
-
-    def run(job: tuple[int, dict]) -> list[T.StructType] | None:
-        number, entity = job
-        own = tokens.filter(F.col("_entity") == number).select(*columns)
-        seen = terms.filter(F.col("_entity") == number).drop("_entity")
-        used = seen if settings.vocab_size is None else seen.filter(F.col("idx") < settings.vocab_size)
-        model = fit_lda(own, used, settings, doc, entity["n_docs"])
-        if model is None:
-            return None
-        seen_terms, known_tokens = seen.agg(
-            F.count("*"), F.sum(F.when(F.col("idx") < model.lda.vocabSize(), F.col("term_freq")))
-        ).first()
-        n_tokens, n_unknown = own.agg(F.sum(F.size("words")), F.lit(0)).first()
-        if known_tokens < n_tokens:
-            has = F.size(F.array_remove(vector_to_array(F.col("tf")), 0.0)) > 0
-            n_unknown = model.counter.transform(own).filter(~has).count()
-        keys = [F.lit(entity[c]).cast(tokens.schema[c].dataType).alias(c) for c in by]
-        fit = spark.range(1).select(
-            *keys,
-            F.lit(settings.n_topics).alias("n_topics"),
-            F.lit(model.lda.vocabSize()).cast("bigint").alias("n_terms"),
-            F.lit(model.n_docs).cast("bigint").alias("n_docs"),
-            F.lit(seen_terms).cast("bigint").alias("n_terms_seen"),
-            F.lit(n_tokens - known_tokens).cast("bigint").alias("n_tokens_dropped"),
-            F.lit(n_unknown).cast("bigint").alias("n_docs_without_term"),
-        )
-        made = [topic_term(model).select(*keys, "*"), doc_topic(model, own), fit]
-        for kind, rows in enumerate(made):
-            rows.write.parquet(f"{root}/{kind}/fit={number}")
-        return [rows.schema for rows in made]
-
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        done = [shapes for shapes in pool.map(run, enumerate(entities)) if shapes is not None]
-    if not done:
-        return None
-    return TopicTables(*[
-        spark.read.schema(shape).option("basePath", f"{root}/{kind}").parquet(f"{root}/{kind}/fit=*")
-        .select(*shape.names)
-        for kind, shape in enumerate(done[0])
-    ])
+    made = keyed_lda.fit(
+        tokens, by, doc, settings.n_topics, settings.max_iter, settings.seed, settings.vocab_size, settings.min_df
+    )
+    return None if made is None else TopicTables(*made)
 
 
 def label_topics(tokens: DataFrame, label: str, by: list[str] = ENTITY, doc: str = DOC) -> TopicTables:
