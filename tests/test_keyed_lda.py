@@ -122,3 +122,29 @@ def test_documents_and_entities_without_terms(spark):
         ("a", 3, 1, 3), ("c", 1, 0, 1)}
     shares = {(r.review_id, r.topic): r.theta for r in got.doc_topic.collect()}
     assert shares[3, 1] == shares[3, 2] == 0.5 and shares[None, 1] == 0.5 and len(shares) == 8
+
+
+def test_an_iteration_reads_one_packed_row_per_block(spark, monkeypatch):
+    monkeypatch.setattr(keyed_lda, "DOCS_PER_BLOCK", 10)
+    written = {}
+
+    def noted(df, label, *by):
+        return written.setdefault(label, pin(df, label, *by))
+
+    monkeypatch.setattr(keyed_lda, "pin", noted)
+    docs = [*made(["a"], 45), ("a", 45, ["w1"]), *made([None], 3)]
+    tm.lda_per_entity(spark.createDataFrame(docs, SHAPE), BY, tm.LdaSettings(2, 1))
+    blocks = written["blocks"].collect()
+    assert len(blocks) == len({b.block for b in blocks}) <= 6
+    assert sum(len(b.seat) for b in blocks) == sum(len(set(words)) for _, _, words in docs)
+    assert all(sum(b["size"]) == len(b.seat) and b.known == sorted(set(b.known)) for b in blocks)
+
+
+def test_shares_of_documents_that_settle_at_different_steps():
+    rng = np.random.default_rng(5)
+    sizes = np.array([1, 40, 3, 200, 9])
+    weight, beta = rng.random(sizes.sum()) * 5, rng.random((3, sizes.sum())) ** 4
+    counts, share = keyed_lda.shares_of(sizes, weight, beta, 1 / 3)
+    for d, (at, n) in enumerate(zip(np.cumsum(sizes) - sizes, sizes, strict=True)):
+        alone, own = keyed_lda.shares_of(sizes[d:d + 1], weight[at:at + n], beta[:, at:at + n], 1 / 3)
+        assert np.allclose(counts[:, d], alone[:, 0], rtol=1e-12) and np.allclose(share[:, d], own[:, 0], rtol=1e-12)
