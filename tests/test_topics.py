@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from chorus.operators import analytics as an
 from chorus.operators import corpus, trends
 from chorus.operators import topic_model as tm
-from chorus.operators.scale import pin
+from chorus.operators.scale import pin, top_n
 
 BY = ["app_id"]
 
@@ -244,3 +244,31 @@ def test_raw_matrix_is_not_a_distribution(tokens):
 
 def test_empty_corpus_gives_nothing(tokens):
     assert tm.lda_per_entity(tokens.limit(0), BY, SMALL) is None
+
+
+def test_relevance_ranks_few_terms_and_the_same(spark, monkeypatch):
+    """Ties over many terms, null entities and topics with fewer terms than asked for."""
+    rows = [(app, t, f"w{i}", float(1 + (i * 7 + len(t)) % 5 if i % 3 else 1)) for app, size in (("a", 900), (None, 40))
+            for t in ("x", "yy") for i in range(size) if t == "x" or i % 2]
+    frame = spark.createDataFrame([*rows, ("a", "zzz", "only", 1.0)], "app_id string, topic string, term string, freq double")
+    whole = frame.groupBy("app_id", "topic").agg(F.sum("freq").alias("total"))
+    freqs = frame.join(whole.withColumnRenamed("app_id", "_a").withColumnRenamed("topic", "_t"),
+                       F.col("app_id").eqNullSafe(F.col("_a")) & (F.col("topic") == F.col("_t"))).drop("_a", "_t")
+    freqs = freqs.withColumn("phi", F.col("freq") / F.col("total")).withColumn("proportion", F.lit(0.5))
+    freqs = freqs.withColumn("total", F.lit(5000.0)).localCheckpoint()
+    ranked = []
+
+    def noted(df, by, order, n, *rest):
+        ranked.append(df)
+        return top_n(df, by, order, n, *rest)
+
+    monkeypatch.setattr(an, "top_n", noted)
+    got = an.relevant_terms(freqs, ["app_id"], 5, 2)
+    lifts = an.log_prob_lift(freqs, ["app_id"]).collect()
+    want = set()
+    for app, topic in {(r.app_id, r.topic) for r in lifts}:
+        for x in (0.0, 0.5, 1.0):
+            own = [(-round(x * r.logprob + (1 - x) * r.loglift, 10), r.term) for r in lifts if (r.app_id, r.topic) == (app, topic)]
+            want |= {(app, topic, x, i + 1, term) for i, (_, term) in enumerate(sorted(own)[:5])}
+    assert {(r.app_id, r.topic, r["lambda"], r["rank"], r.term) for r in got.collect()} == want
+    assert ranked[-1].count() < len(lifts)
