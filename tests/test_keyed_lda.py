@@ -140,6 +140,28 @@ def test_an_iteration_reads_one_packed_row_per_block(spark, monkeypatch):
     assert all(sum(b["size"]) == len(b.seat) and b.known == sorted(set(b.known)) for b in blocks)
 
 
+def test_an_iteration_sends_one_row_per_group_and_shelf(spark, monkeypatch):
+    monkeypatch.setattr(keyed_lda, "DOCS_PER_BLOCK", 10)
+    monkeypatch.setattr(keyed_lda, "ENTRIES_PER_GROUP", 100)
+    written = []
+
+    def noted(df, label, *by):
+        written.append((label, pin(df, label, *by)))
+        return written[-1][1]
+
+    monkeypatch.setattr(keyed_lda, "pin", noted)
+    docs = [("a", i, [f"w{i % 50}", *[f"w{(7 * i + j) % 400}" for j in range(8)]]) for i in range(200)]
+    got = tm.lda_per_entity(spark.createDataFrame(docs, SHAPE), BY, tm.LdaSettings(2, 2))
+    tables = dict(written)
+    groups = tables["groups"].select("group").distinct().count()
+    shelves = tables["shelves"].count()
+    assert 4 <= groups <= 20 and 1 < shelves <= 4
+    for rows in (rows for label, rows in written if label == "topics"):
+        assert rows.filter("to IS NOT NULL").count() <= groups * shelves
+        assert rows.count() <= groups * shelves + 2 * shelves
+    assert got.topic_term.count() == 2 * 400 and got.fits.first().n_terms == 400
+
+
 def test_shares_of_documents_that_settle_at_different_steps():
     rng = np.random.default_rng(5)
     sizes = np.array([1, 40, 3, 200, 9])
