@@ -10,14 +10,14 @@ from collections.abc import Callable
 from datetime import date
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chorus.functions import text as tx
 from chorus.operators import analytics as an
 from chorus.operators import corpus, hygiene, linguistic, trends
 from chorus.operators import topic_model as tm
-from chorus.operators.scale import pin, work_dir
+from chorus.operators.scale import lookup, pin, work_dir
 from chorus.plans import extract, review_topics
 from chorus.plans.review_topics import topic_tables
 from chorus.schema import FEED_PAGE_SIZE, GOOGLE_PLAY_REVIEWS, MAX_REVIEWS_PER_ENTITY, STORE_RESULT_KEY
@@ -100,14 +100,18 @@ def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_name").alias("userName"),
     )
     entry = F.struct("review_id", F.struct(attributes.alias("attributes")).alias("e"))
-    pages = rows.groupBy(
-        "app_id", "lang", F.floor(F.col("review_id") / (size * size)).alias("page_no")
-    ).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    page_no = F.floor(F.col("review_id") / (size * size))
+    pages = rows.groupBy("app_id", "lang", page_no.alias("page_no")).agg(
+        F.array_sort(F.collect_list(entry)).alias("entries")
+    )
+    # the ends of the feeds are few and come by a join: a window would move and sort all texts once more
+    ends = docs(spark, sf_dir).groupBy("app_id", "lang").agg(F.max(page_no).alias("last_no"))
+    pages = lookup(pages, ends, ["app_id", "lang"], nulls=True)
     link = F.concat(
         F.lit("/v1/catalog/"), "lang", F.lit("/apps/"), "app_id", F.lit("/reviews?l=en-GB&offset="),
         ((F.col("page_no") + 1) * size).cast("string"), F.lit("&limit=20"),
     )
-    last = F.col("page_no") == F.max("page_no").over(Window.partitionBy("app_id", "lang"))
+    last = F.col("page_no") == F.col("last_no")
     body = F.struct(
         F.transform("entries", lambda x: x["e"]).alias("data"),
         F.when(~last, link).alias("next"),
@@ -734,10 +738,14 @@ def lda_relevance(spark, sf_dir, settings: tm.LdaSettings | None = None):
 
 
 def _landed(spark, sf_dir, name: str, times: int = 1) -> str:
-    """Feed pages as files in a landing folder, each page landed ``times`` times."""
+    """Feed pages as files in a landing folder, each page landed ``times`` times; they are made once."""
     path = f"{work_dir(spark)}/landing-{name}-{uuid4().hex}"
-    for _ in range(times):
-        raw_pages(spark, sf_dir).drop("page_no").write.mode("append").parquet(path)
+    made = raw_pages(spark, sf_dir).drop("page_no")
+    made.write.parquet(path)
+    if times > 1:
+        again = spark.read.schema(made.schema).parquet(path)
+        for _ in range(times - 1):
+            again.write.mode("append").parquet(path)
     return path
 
 

@@ -1,0 +1,44 @@
+"""Landed feed pages: how they are made, and that each text moves but once for them."""
+
+import json
+
+from chorus.plans import catalog
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def tables(spark, tmp_path, docs):
+    spark.createDataFrame(docs, DOCUMENTS).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.sql("SELECT 1L AS event_id, timestamp_ntz'2024-01-02 00:00:00' AS ts, 7L AS user_id, 'view' AS event_type,"
+              " 0.5D AS value, '{\"k\": 3}' AS props").write.parquet(str(tmp_path / "events.parquet"))
+    spark.sql("SELECT 1L AS doc_id, 1 AS quality, 0 AS toxic").write.parquet(str(tmp_path / "labels.parquet"))
+    return str(tmp_path)
+
+
+def test_pages_of_a_feed_end_with_its_last(spark, tmp_path):
+    keys = [("a", "en"), (None, "en"), ("a", None)]
+    docs = [(i, f"t{i}", lang, app, 2) for i in range(0, 1000, 50) for app, lang in keys]
+    docs += [(None, "no id", "en", "b", 2), (1200, "later", "en", "a", 2)]
+    pages = catalog.raw_pages(spark, tables(spark, tmp_path, docs))
+    assert "Window" not in pages._jdf.queryExecution().executedPlan().toString()
+    found = {(r.app_id, r.lang, r.page_no): json.loads(r.raw) for r in pages.collect()}
+    assert len(found) == 3 * 3 + 2
+    for app, lang in keys:
+        end = 3 if (app, lang) == ("a", "en") else 2
+        for page in range(3):
+            link = found[app, lang, page].get("next")
+            # a link needs app and language
+            assert (link is not None) == (page != end and None not in (app, lang))
+            assert len(found[app, lang, page]["data"]) == (4 if page == 2 else 8)
+    assert "next" not in found["a", "en", 3] and "next" not in found["b", "en", None]
+
+
+def test_landing_twice_makes_the_pages_once(spark, tmp_path, monkeypatch):
+    root = tables(spark, tmp_path, [(i, f"t{i}", "en", "a", 2) for i in range(900)])
+    made = []
+    pages = catalog.raw_pages
+    monkeypatch.setattr(catalog, "raw_pages", lambda *a: made.append(a) or pages(*a))
+    path = catalog._landed(spark, root, "test", 2)
+    rows = [(r.raw, r.app_id) for r in spark.read.schema(catalog.PAGE_FILE).parquet(path).collect()]
+    assert len(made) == 1 and len(rows) == 2 * len(set(rows)) == 6
+    assert sum(len(json.loads(raw)["data"]) for raw, _ in rows) == 2 * 900
