@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+#: A shuffle join builds a hash table of at most so much on average, uncompressed, in a task.
+HASHED_BYTES = 32 * 1024 * 1024
 TOP_SALTS = 32
 
 _local_dirs: dict[str, str] = {}
@@ -57,7 +59,7 @@ def spread(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     The count is given so that adaptive execution does not merge partitions by
     byte size: the text work that follows is far heavier than its bytes suggest.
     """
-    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = _shuffle_partitions(df)
     return df.repartition(most if partitions is None else max(1, min(partitions, most)), key)
 
 
@@ -96,9 +98,11 @@ def lookup(
     partition's fair share, 1/``hot_keys`` of all load (default: the session's
     shuffle partitions), so there are fewer hot keys than that by arithmetic.
     Hot keys are broadcast and their rows never shuffled; all others are light
-    and take a shuffle join. Without a hot key it is a plain shuffle join. A row
-    with a null key matches nothing, whatever the size; a left join keeps it. With
-    ``nulls``, null is a key like any other.
+    and take a shuffle join. Without a hot key it is a plain shuffle join. That
+    join hashes the table, not sorting the many rows, when a partition's share of
+    it is measured below ``HASHED_BYTES``. A row with a null key matches nothing,
+    whatever the size; a left join keeps it. With ``nulls``, null is a key like
+    any other.
     """
     if nulls:
         return _unpacked(lookup(_packed(rows, keys), _packed(table, keys), ["_keys"], load, how, limit, hot_keys), keys)
@@ -106,8 +110,9 @@ def lookup(
         raise ValueError(f"unsupported join type {how!r}")
     limit = BROADCAST_BYTES if limit is None else limit
     if hot_keys is None:
-        hot_keys = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if how != "known" and measure(table) <= limit:
+        hot_keys = _shuffle_partitions(rows)
+    whole = None if how == "known" else measure(table)
+    if whole is not None and whole <= limit:
         return rows.join(F.broadcast(table), keys, how)
     if how == "left":
         unkeyed = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in keys])
@@ -120,15 +125,16 @@ def lookup(
         table = pin(met.join(table.withColumn("_known", F.lit(True)), keys, "left"), "lookup")
     cut = (table.agg(F.sum(load)).first()[0] or 0) / hot_keys
     hot = table.filter(F.col(load) > cut)
+    hashed = whole is not None and not counted and whole <= HASHED_BYTES * _shuffle_partitions(rows)
     while (size := measure(hot)) > limit and cut > 0:
         cut *= 2
         hot = table.filter(F.col(load) > cut)
     if size:
-        light = table.filter(F.col(load) <= cut)
+        light = _to_hash(table.filter(F.col(load) <= cut), hashed)
         rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
         joined = rows.join(F.broadcast(hot), keys).unionByName(rest.join(light, keys))
     else:
-        joined = rows.join(table, keys)
+        joined = rows.join(_to_hash(table, hashed), keys)
     if not counted:
         return joined
     if how == "inner":
@@ -136,6 +142,14 @@ def lookup(
     return joined.drop("_load", "_known")
 
 
+def _shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _to_hash(table: DataFrame, small: bool) -> DataFrame:
+    return table.hint("shuffle_hash") if small else table
+
+
 def _packed(df: DataFrame, keys: list[str]) -> DataFrame:
     """``df`` with its keys in one struct, which is never null and equal where all its fields are, null or not."""
     return df.select(F.struct(*[F.col(c) for c in keys]).alias("_keys"), *_others(df, keys))

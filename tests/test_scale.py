@@ -105,3 +105,20 @@ def test_pin_by_key_prunes(spark, skewed):
 def test_work_dir_follows_the_session_setting(spark):
     base = spark.conf.get("spark.checkpoint.dir", None)
     assert scale.work_dir(spark).startswith(base.rstrip("/") if base else "/")
+
+
+@pytest.mark.parametrize("nulls", [False, True])
+def test_lookup_hashes_a_table_of_light_partitions(spark, skewed, monkeypatch, nulls):
+    _, frame = skewed
+    table = scale.pin(frame.groupBy("k").agg(F.count("*").alias("n")), "t")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    found = {}
+    for limit in (scale.HASHED_BYTES, 0):
+        monkeypatch.setattr(scale, "HASHED_BYTES", limit)
+        got = scale.lookup(frame, table, ["k"], load="n", limit=200, hot_keys=3, nulls=nulls)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert ("ShuffledHashJoin" in plan, "SortMergeJoin" in plan) == (limit > 0, limit == 0)
+        found[limit] = sorted(map(tuple, got.select("k", "i", "v", "n").collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(found) == 2 and found[0] == found[max(found)]
