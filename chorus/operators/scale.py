@@ -53,14 +53,21 @@ def gathered(df: DataFrame, by: list[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in by])
 
 
-def spread(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """Place rows by key, by default over the session's shuffle partitions.
+def spread(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
+    """Place rows by their keys, by default over the session's shuffle partitions.
 
     The count is given so that adaptive execution does not merge partitions by
     byte size: the text work that follows is far heavier than its bytes suggest.
     """
     most = _shuffle_partitions(df)
-    return df.repartition(most if partitions is None else max(1, min(partitions, most)), key)
+    return df.repartition(most if partitions is None else max(1, min(partitions, most)), *keys)
+
+
+def lies_even(scan: DataFrame) -> bool:
+    """Whether a scan's rows lie evenly in enough tasks to keep all cores busy; no column is read for it."""
+    each = scan.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n"))
+    parts, most, rows = each.agg(F.count("*"), F.max("n"), F.sum("n")).first()
+    return parts >= 2 * scan.sparkSession.sparkContext.defaultParallelism and most * parts <= 2 * rows
 
 
 def _row_bytes(df: DataFrame) -> Column:

@@ -17,7 +17,7 @@ from chorus.functions import text as tx
 from chorus.operators import analytics as an
 from chorus.operators import corpus, hygiene, linguistic, trends
 from chorus.operators import topic_model as tm
-from chorus.operators.scale import lookup, pin, work_dir
+from chorus.operators.scale import lies_even, lookup, pin, work_dir
 from chorus.plans import extract, review_topics
 from chorus.plans.review_topics import topic_tables
 from chorus.schema import FEED_PAGE_SIZE, GOOGLE_PLAY_REVIEWS, MAX_REVIEWS_PER_ENTITY, STORE_RESULT_KEY
@@ -126,11 +126,12 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Content words of every document, by the stop words of its own language.
 
     The given table is a single row group, which one task would read and
-    tokenise alone, so documents are spread first.
+    tokenise alone, so documents are spread first unless they lie in many even parts.
     """
 
     def make() -> DataFrame:
-        words = corpus.preprocess(docs(spark, sf_dir), lang="lang", langs=LANGS, even_by="review_id")
+        given = docs(spark, sf_dir)
+        words = corpus.preprocess(given, lang="lang", langs=LANGS, even_by=None if lies_even(given) else "review_id")
         return pin(words, "tokens")
 
     return _once(spark, sf_dir, "tokens", make)

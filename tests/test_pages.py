@@ -2,6 +2,7 @@
 
 import json
 
+from chorus.operators.scale import lies_even
 from chorus.plans import catalog
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -42,3 +43,21 @@ def test_landing_twice_makes_the_pages_once(spark, tmp_path, monkeypatch):
     rows = [(r.raw, r.app_id) for r in spark.read.schema(catalog.PAGE_FILE).parquet(path).collect()]
     assert len(made) == 1 and len(rows) == 2 * len(set(rows)) == 6
     assert sum(len(json.loads(raw)["data"]) for raw, _ in rows) == 2 * 900
+
+
+def test_tokens_of_a_table_in_many_even_parts_take_no_shuffle(spark, tmp_path):
+    docs = [(i, f"some words of text number {i}", "en", "a", 2) for i in range(400)]
+    frame = spark.createDataFrame(docs, DOCUMENTS)
+    many = 2 * spark.sparkContext.defaultParallelism
+    before = spark.conf.get("spark.sql.files.openCostInBytes"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "4000")
+    found = {}
+    for name, parts in (("even", many), ("one", 1)):
+        root = str(tmp_path / name)
+        frame.repartition(parts).write.parquet(f"{root}/documents.parquet")
+        assert lies_even(catalog.docs(spark, root)) == (name == "even")
+        found[name] = sorted((r.review_id, r.words) for r in catalog.tokens(spark, root).collect())
+    spark.conf.set("spark.sql.files.openCostInBytes", before[0])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before[1])
+    assert len(found["even"]) == 400 and found["even"] == found["one"]
