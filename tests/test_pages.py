@@ -4,6 +4,7 @@ import json
 
 from chorus.operators.scale import lies_even
 from chorus.plans import catalog
+from chorus.sources import reviews
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -61,3 +62,18 @@ def test_tokens_of_a_table_in_many_even_parts_take_no_shuffle(spark, tmp_path):
     spark.conf.set("spark.sql.files.openCostInBytes", before[0])
     spark.conf.set("spark.sql.files.maxPartitionBytes", before[1])
     assert len(found["even"]) == 400 and found["even"] == found["one"]
+
+
+def test_entities_are_written_by_all_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(reviews, "ROWS_PER_FILE", 50)
+    names = [*[f"a{i % 40}" for i in range(200)], *["large"] * 400, *[None] * 3]
+    rows = [("s", name, "us", "en", str(i)) for i, name in enumerate(names)]
+    frame = spark.createDataFrame(rows, "store string, app_id string, country string, lang string, review_id string")
+    path = tmp_path / "out"
+    reviews.write_reviews(frame, str(path))
+    files = [(f.parts[-4], f.name.split("-")[1]) for f in path.rglob("*.parquet")]
+    assert len({task for _, task in files}) > 1
+    assert len([app for app, _ in files if app == "app_id=a7"]) == 1
+    assert len([app for app, _ in files if app == "app_id=large"]) > 1
+    read = reviews.read_reviews(spark, str(path), frame.schema).select(*frame.columns)
+    assert sorted(map(tuple, read.collect()), key=repr) == sorted(rows, key=repr)
