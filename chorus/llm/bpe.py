@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from chorus.llm.common import fresh, small_batches
 from chorus.llm.vector_text import Texts, texts
 
-REMEMBERED = 1_500_000
+REMEMBERED = 400_000
 #: What a vocabulary pattern means by white space; Python adds U+001C to U+001F.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 NONE = np.iinfo(np.int64).max
@@ -220,6 +220,8 @@ def _encoder(shared) -> Encoder:
     key = f"{len(text)}:{hash(text)}"
     if key not in _encoders:
         _encoders.clear()
+        # memory that earlier work of this worker has freed goes back first
+        pa.default_memory_pool().release_unused()
         _encoders[key] = Encoder(text)
     return _encoders[key]
 
