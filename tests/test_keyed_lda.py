@@ -170,3 +170,26 @@ def test_shares_of_documents_that_settle_at_different_steps():
     for d, (at, n) in enumerate(zip(np.cumsum(sizes) - sizes, sizes, strict=True)):
         alone, own = keyed_lda.shares_of(sizes[d:d + 1], weight[at:at + n], beta[:, at:at + n], 1 / 3)
         assert np.allclose(counts[:, d], alone[:, 0], rtol=1e-12) and np.allclose(share[:, d], own[:, 0], rtol=1e-12)
+
+
+def test_documents_settle_in_strips_some_at_a_time(monkeypatch):
+    monkeypatch.setattr(keyed_lda, "STRIP", 8)
+    monkeypatch.setattr(keyed_lda, "STRIPS_AT_ONCE", 5)
+    rng = np.random.default_rng(7)
+    sizes = np.array([1, 8, 9, 70, 3, 3, 16, 5, 24])
+    weight, beta = rng.random(sizes.sum()) * 5, rng.random((3, sizes.sum())) ** 4
+    asked, settled = [], keyed_lda._settled
+    monkeypatch.setattr(keyed_lda, "_settled", lambda *a: asked.append(a[1]) or settled(*a))
+    counts, share = keyed_lda.shares_of(sizes, weight, beta, 1 / 3)
+    assert len(asked) > 2 and np.concatenate(asked).tolist() == (-(-sizes // 8)).tolist()
+    assert all(sum(strips[1:]) < 5 for strips in asked)
+    for d, (at, n) in enumerate(zip(np.cumsum(sizes) - sizes, sizes, strict=True)):
+        own, met_by, gamma = weight[at:at + n], beta[:, at:at + n], np.ones(3)
+        for _ in range(keyed_lda.MOST_STEPS):
+            each = np.exp(keyed_lda.digamma(gamma, np.log) - keyed_lda.digamma(gamma.sum(), np.log))
+            new = 1 / 3 + each * (met_by @ (own / (each @ met_by + 1e-100)))
+            done, gamma = np.abs(new - gamma).mean() < keyed_lda.SETTLED, new
+            if done:
+                break
+        assert np.allclose(counts[:, d], gamma, rtol=1e-10)
+        assert np.allclose(share[:, d], keyed_lda._log_shares(gamma[:, None])[:, 0], rtol=1e-10)
