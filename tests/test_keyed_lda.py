@@ -193,3 +193,22 @@ def test_documents_settle_in_strips_some_at_a_time(monkeypatch):
                 break
         assert np.allclose(counts[:, d], gamma, rtol=1e-10)
         assert np.allclose(share[:, d], keyed_lda._log_shares(gamma[:, None])[:, 0], rtol=1e-10)
+
+
+def test_documents_still_open_settle_together_with_the_next_ones(monkeypatch):
+    monkeypatch.setattr(keyed_lda, "STRIP", 8)
+    monkeypatch.setattr(keyed_lda, "STRIPS_AT_ONCE", 12)
+    rng = np.random.default_rng(11)
+    sizes = np.tile([40, *[2] * 7], 12)
+    weight, beta = rng.random(sizes.sum()) * 5, rng.random((3, sizes.sum())) ** 4
+    steps, shares = [], keyed_lda._log_shares
+    monkeypatch.setattr(keyed_lda, "_log_shares", lambda x: steps.append(x.shape[1]) or shares(x))
+    counts, _ = keyed_lda.shares_of(sizes, weight, beta, 1 / 3)
+    together, apart, first = len(steps), 0, np.cumsum(sizes) - sizes
+    for d in range(0, len(sizes), 8):
+        steps.clear()
+        own = slice(first[d], first[d] + 54)
+        alone, _ = keyed_lda.shares_of(sizes[d:d + 8], weight[own], beta[:, own], 1 / 3)
+        assert np.allclose(counts[:, d:d + 8], alone, rtol=1e-12)
+        apart += len(steps)
+    assert 2 * together < apart
