@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -212,3 +213,19 @@ def test_documents_still_open_settle_together_with_the_next_ones(monkeypatch):
         assert np.allclose(counts[:, d:d + 8], alone, rtol=1e-12)
         apart += len(steps)
     assert 2 * together < apart
+
+
+def test_a_group_holds_what_it_has_per_entry_in_bytes():
+    blocks = [([3, 8, 9], [0, 1, 2, 0], [1.5, 2.0, 0.5, 4.0], [1, 2], [3, 1]), ([5, 9], [1], [7.0], [4], [1])]
+    made = pa.table({
+        "group": [6, 6], "known": [x[0] for x in blocks], "seat": pa.array([x[1] for x in blocks], pa.list_(pa.int32())),
+        "weight": [x[2] for x in blocks], "bag": [x[3] for x in blocks], "copies": [[1] * len(x[3]) for x in blocks],
+        "size": pa.array([x[4] for x in blocks], pa.list_(pa.int32())),
+    })
+    got = keyed_lda._grouped(np.array([2, 7]))(made)
+    known = got["known"][0].as_py()
+    assert sorted(known) == [3, 5, 8, 9] and got["known"].to_pylist()[1] == []
+    for row, (terms, seat, weight, _, _) in zip(got.to_pylist(), blocks, strict=True):
+        assert np.frombuffer(row["seat"], np.int32).tolist() == seat
+        assert np.frombuffer(row["weight"], np.float64).tolist() == weight
+        assert [known[i] for i in np.frombuffer(row["place"], np.int32)] == terms
