@@ -127,9 +127,9 @@ def lookup(
         return keyed.unionByName(rows.filter(unkeyed), allowMissingColumns=True)
     counted = load is None or how == "known"
     if counted:
-        load = "_load"
+        load, known = _unused("_load", rows, table), _unused("_known", rows, table)
         met = rows.groupBy(*keys).agg(F.count("*").alias(load))
-        table = pin(met.join(table.withColumn("_known", F.lit(True)), keys, "left"), "lookup")
+        table = pin(met.join(table.withColumn(known, F.lit(True)), keys, "left"), "lookup")
     cut = (table.agg(F.sum(load)).first()[0] or 0) / hot_keys
     hot = table.filter(F.col(load) > cut)
     hashed = whole is not None and not counted and whole <= HASHED_BYTES * _shuffle_partitions(rows)
@@ -145,14 +145,22 @@ def lookup(
     if not counted:
         return joined
     if how == "inner":
-        joined = joined.filter(F.col("_known"))
-    return joined.drop("_load", "_known")
+        joined = joined.filter(F.col(known))
+    return joined.drop(load, known)
 
 
 def _shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _unused(name: str, *frames: DataFrame) -> str:
+    """``name``, with underscores in front until no frame has a column of that name, whatever its case."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def _to_hash(table: DataFrame, small: bool) -> DataFrame:
     return table.hint("shuffle_hash") if small else table
 

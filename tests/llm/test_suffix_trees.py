@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from chorus.llm import suffix_trees as st
+from chorus.operators import scale
 from tests.llm.helpers import words
 
 DOCS = "doc_id long, text string"
@@ -58,6 +59,14 @@ def test_same_words_go_as_by_looking_up_every_window(spark, most):
     assert made(df, width=12, most=most) == brute(docs, 12)
 
 
+def test_lists_too_large_to_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(scale, "BROADCAST_BYTES", 0)
+    docs = corpus(2, 150)
+    docs += [*docs[:10], (None, docs[20][1]), (None, docs[20][1])]
+    df = spark.createDataFrame(docs, DOCS).repartition(3)
+    assert made(df, width=12) == brute(docs, 12)
+
+
 def test_windows_of_fifty_words_and_a_long_text(spark):
     rnd = random.Random(3)
     long = [f"v{rnd.randrange(5000)}" for _ in range(120_000)]
