@@ -3,13 +3,14 @@
 import math
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from chorus.operators import keyed_lda
+from chorus.operators import corpus, keyed_lda
 from chorus.operators import topic_model as tm
 from chorus.operators.scale import pin
 
@@ -163,6 +164,34 @@ def test_an_iteration_sends_one_row_per_group_and_shelf(spark, monkeypatch):
     assert got.topic_term.count() == 2 * 400 and got.fits.first().n_terms == 400
 
 
+def test_words_are_counted_without_moving_documents(spark):
+    rows = [(1, ["b", "a", "b", None, "", "b", None]), (2, []), (3, None), (4, ["x"]), (5, ["y", "y"])]
+    frame = spark.createDataFrame(rows, "i int, words array<string>")
+    got = corpus.counted_words(frame)
+    assert {r.i: None if r.said is None else {x.term: x.n for x in r.said} for r in got.collect()} == {
+        1: {"b": 3, "a": 1, None: 2, "": 1}, 2: None, 3: None, 4: {"x": 1}, 5: {"y": 2}}
+    docs = [(i, [f"w{(i * j) % 13}" for j in range(i % 9)]) for i in range(60)]
+    frame = spark.createDataFrame(docs, "i int, words array<string>").withColumn("app_id", F.lit("a"))
+    listed = corpus.vocabulary(corpus.counted_words(frame), BY, said="said")
+    assert sorted(map(tuple, listed.collect())) == sorted(map(tuple, corpus.vocabulary(frame, BY, "i").collect()))
+    plan = corpus.counted_words(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("sort_array") == 1
+
+
+def test_messages_of_old_iterations_are_deleted(spark, monkeypatch):
+    written = []
+
+    def noted(df, label, *by):
+        written.append((label, pin(df, label, *by)))
+        return written[-1][1]
+
+    monkeypatch.setattr(keyed_lda, "pin", noted)
+    got = tm.lda_per_entity(spark.createDataFrame(made(["a", None]), SHAPE), BY, tm.LdaSettings(2, 6))
+    paths = [df.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://") for label, df in written if label == "topics"]
+    assert [Path(p).exists() for p in paths] == [False] * 4 + [True] * 3
+    assert got.topic_term.count() == 2 * 2 * 30
+
+
 def test_shares_of_documents_that_settle_at_different_steps():
     rng = np.random.default_rng(5)
     sizes = np.array([1, 40, 3, 200, 9])
